@@ -65,7 +65,7 @@ def main(args):
     sf = args[args.index("--sf") + 1] if "--sf" in args else "0.01"
     pats = [a for i, a in enumerate(args) if a != "--sf" and (i == 0 or args[i - 1] != "--sf")] or ["."]
     sf_dir = f"/root/testdata/sf{sf}"
-    spark = build_session(master="local[8]", spark__sql__shuffle__partitions="8", spark__ui__enabled="false", spark__driver__memory="8g")
+    spark = build_session(master="local[8]", spark__sql__shuffle__partitions="8", spark__ui__enabled="false", spark__ui__showConsoleProgress="false", spark__driver__memory="8g")
     spark.sparkContext.setLogLevel("ERROR")
     con, sqls, bad = connect(sf_dir), e.oracle_sql(), 0
     for name, q in e.queries().items():
