@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+from rosterlake.llm import linking
 from rosterlake.llm import queries as plain
 
-MODULES = (plain,)
+MODULES = (plain, linking)
 
 
 def queries() -> dict:
