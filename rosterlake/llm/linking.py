@@ -1,29 +1,267 @@
-"""Queries p2, p3 and p7: which rows mean the same person, organization, hospital or place."""
+"""Which rows mean the same person or organization.
+
+Candidates come from an index on (context, token): a context is a number, a
+telephone, a place or a locality that two rows share, and tokens are looked up
+with their symmetric-delete neighbours. Candidate names are aligned by optimal
+assignment, and a pair is kept if its names agree as well as its context asks.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Iterator
+from functools import reduce
+
+import pandas as pd
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rosterlake.llm import addresses
-from rosterlake.session import cut, table
+from rosterlake.llm.addresses import read_address, read_city, read_state, read_zip
+from rosterlake.llm.graph import components, neighbours
+from rosterlake.llm.names import align_persons, person_tokens, share_given
+from rosterlake.llm.orgnames import ACRONYM, align_orgs, own_tokens, read_org
+from rosterlake.llm.survivors import told, valid_npi
+from rosterlake.session import cut
+
+#: Agreement of persons' names that a context asks for: with a number, telephone, place or practice, and with a locality only.
+NEAR_CONTEXT, LOCALITY_ONLY = 0.2, 0.6
+#: Agreement that organizations' names need in a shared locality.
+ORG_AGREES = 0.55
+
+
+def ten_digits(col: Column) -> Column:
+    """The ten digits of a telephone without extension, or null; zeros only are null."""
+    bare = F.regexp_replace(F.lower(col), r"\s*(?:x|ext\.?|extension)\s*\d+\s*$", "")
+    digits = F.regexp_replace(F.regexp_replace(bare, "[^0-9]", ""), "^1(?=[0-9]{10}$)", "")
+    return F.when((F.length(digits) == 10) & ~digits.rlike("^0+$"), digits)
+
+
+def site_of(col: Column) -> Column:
+    """The host of a website without www., or null."""
+    return F.nullif(F.regexp_extract(F.lower(F.trim(col)), r"^(?:https?://)?(?:www\.)?([a-z0-9-]+(?:\.[a-z0-9-]+)+)", 1), F.lit(""))
+
+
+def located(rows: DataFrame, keep: list[str]) -> DataFrame:
+    """``keep`` and the components of the address; rows without a street have only city, state and zip5."""
+    kept = rows.select(*keep, *[F.col(c).cast("string") for c in ("address", "city", "state", "zip")])
+    types = {f.name: f.dataType.simpleString() for f in kept.schema.fields}
+    schema = ", ".join([f"{k} {types[k]}" for k in keep] + [f"{f} string" for f in addresses.FIELDS])
+
+    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            rest = dict.fromkeys(addresses.FIELDS)
+            got = [
+                read_address(a, c, s, z) or rest | {"city": read_city(c), "state": read_state(s), "zip5": read_zip(z)}
+                for a, c, s, z in zip(pdf.address, pdf.city, pdf.state, pdf.zip)
+            ]
+            yield pd.concat([pdf[keep].reset_index(drop=True), pd.DataFrame(got, columns=addresses.FIELDS, dtype=object)], axis=1)
+
+    return kept.mapInPandas(read, schema)
+
+
+def placed(rows: DataFrame, keep: list[str]) -> DataFrame:
+    """``located`` with the place of each address (null without one)."""
+    read = cut(located(rows, keep))
+    whole = read.where("street is not null and num is not null")
+    found = addresses.places(whole)
+    keyed = found.select(*[F.col(f).alias(f"p_{f}") for f in addresses.FIELDS], "place")
+    on = reduce(Column.__and__, [F.col(f).eqNullSafe(F.col(f"p_{f}")) for f in addresses.FIELDS])
+    return read.join(keyed, on, "left").drop(*[f"p_{f}" for f in addresses.FIELDS])
+
+
+def tokens_of(rows: DataFrame, how) -> DataFrame:
+    """(id, t): the index tokens of ``name`` by the function ``how``."""
+
+    def cut_up(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            out = [(i, t) for i, n in zip(pdf["id"], pdf["name"]) for t in how(n)]
+            yield pd.DataFrame(out, columns=["id", "t"]).astype({"id": "int64", "t": "object"})
+
+    return rows.where("name is not null").select("id", "name").mapInPandas(cut_up, "id long, t string")
+
+
+def contexts(rows: DataFrame, kinds: dict[str, Column]) -> DataFrame:
+    """(id, c): the contexts of each row, as text of kind and value; null ones are left out."""
+    made = F.array_compact(F.array(*[F.concat(F.lit(f"{k}|"), v) for k, v in kinds.items()]))
+    return rows.select("id", F.explode(made).alias("c"))
+
+
+def candidates(index: DataFrame, probe: DataFrame, near: DataFrame) -> DataFrame:
+    """Distinct (x, y): x from ``index`` and y from ``probe`` share a context and a token or its neighbour.
+
+    Both have (id, c, t). Rows meet on (context, token) only, so even a
+    context that holds a third of all rows is spread by its tokens.
+    """
+    looked = probe.join(near, "t").select(F.col("id").alias("y"), "c", F.col("u").alias("t"))
+    return index.select(F.col("id").alias("x"), "c", "t").join(looked, ["c", "t"]).where("x <> y").select("x", "y").distinct()
+
+
+def _same(f: str) -> Column:
+    return F.coalesce(F.col(f"a.{f}") == F.col(f"b.{f}"), F.lit(False))
+
+
+def _differ(f: str) -> Column:
+    return F.coalesce(F.col(f"a.{f}") != F.col(f"b.{f}"), F.lit(False))
+
+
+def _near_city() -> Column:
+    return F.coalesce(F.levenshtein(F.col("a.city"), F.col("b.city")) <= 2, F.lit(False))
+
+
+def aligned(pairs: DataFrame, a: str, b: str, how, out: str, extra: str | None = None) -> DataFrame:
+    """Adds ``out``: how(name a, name b[, extra]) for the columns ``a`` and ``b``."""
+    cols = [a, b] + ([extra] if extra else [])
+
+    @F.pandas_udf("double")
+    def score(x: pd.Series, y: pd.Series, z: pd.Series) -> pd.Series:
+        return pd.Series([float(how(p, q, r) if extra else how(p, q)) for p, q, r in zip(x, y, z)], dtype="float64")
+
+    return pairs.withColumn(out, score(*[F.col(c) for c in (*cols, *([a] if not extra else []))]))
+
+
+# Persons
+
+
+def people(providers: DataFrame) -> DataFrame:
+    """What of each listing tells who it means: (id, name, npi, tel, practice, specialty, place, city, state, zip5)."""
+    kept = providers.where("provider_id is not null").select(
+        F.col("provider_id").alias("id"), F.col("full_name").alias("name"), valid_npi(F.col("npi")).alias("npi"), ten_digits(F.col("phone")).alias("tel"),
+        told(F.col("practice_name")).alias("practice"), F.lower(F.trim(told(F.col("specialty")))).alias("specialty"), "address", "city", "state", "zip",
+    )
+    return placed(kept, ["id", "name", "npi", "tel", "practice", "specialty"])
+
+
+def person_links(rows: DataFrame) -> DataFrame:
+    """(a, b, weight, npi_a, npi_b): listings whose names and contexts agree; a < b.
+
+    Listings with two different valid numbers are never linked. With the same
+    number, telephone, place or practice, names may agree loosely, and with
+    the same number a given or family name alone may (names change). With
+    only the locality in common, names must agree well and specialties not
+    differ. Rows without a name have no links.
+    """
+    tight = {"n": F.col("npi"), "p": F.col("tel")}
+    loose = {"z": F.col("zip5"), "c": F.when(F.col("zip5").isNull(), F.col("city")), "y": F.col("city"), "l": F.col("place").cast("string"), "o": F.lower("practice")}
+    toks = cut(tokens_of(rows, person_tokens))
+    more = tokens_of(rows, lambda n: person_tokens(n, True))
+    near = cut(neighbours(toks.unionByName(more)))
+    no_zip = rows.where("zip5 is null").select("id")
+    wide = contexts(rows, {k: v for k, v in loose.items() if k != "y"}).join(toks, "id")
+    deep = contexts(rows, tight).join(more, "id")
+    # Rows without a postal code look for their town among all rows.
+    town_index, town_probe = contexts(rows, {"y": F.col("city")}).join(toks, "id"), contexts(rows, {"y": F.col("city")}).join(toks, "id").join(no_zip, "id", "left_semi")
+    both = [candidates(wide, wide, near), candidates(deep, deep, near), candidates(town_index, town_probe, near)]
+    pairs = reduce(DataFrame.unionByName, both).select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct()
+    full = pairs.join(rows.alias("a"), F.col("x") == F.col("a.id")).join(rows.alias("b"), F.col("y") == F.col("b.id")).where(~_differ("npi"))
+    flat = full.select(
+        "x", "y", F.col("a.name").alias("na"), F.col("b.name").alias("nb"), F.col("a.practice").alias("pa"), F.col("b.practice").alias("pb"), F.col("a.npi").alias("npi_a"), F.col("b.npi").alias("npi_b"),
+        _same("npi").alias("same_npi"), _same("tel").alias("same_tel"), _same("place").alias("same_place"), (_same("zip5") | (_near_city() & ~_differ("zip5") & ~_differ("state"))).alias("same_town"),
+        _same("specialty").alias("same_specialty"), _differ("specialty").alias("other_specialty"),
+    )
+    scored = aligned(aligned(flat, "na", "nb", align_persons, "score"), "na", "nb", share_given, "shared")
+    asked = scored.where("score > 0 or (same_npi and shared > 0)")
+    asked = aligned(asked, "pa", "pb", lambda p, q: align_orgs(p, q) if p and q else 0.0, "practice")
+    at_work = F.col("same_tel") | F.col("same_place") | (F.col("practice") >= ORG_AGREES) & F.col("same_town")
+    ok = F.col("same_npi") | (at_work & (F.col("score") >= NEAR_CONTEXT)) | (F.col("same_town") & (F.col("score") >= LOCALITY_ONLY) & ~F.col("other_specialty"))
+    flag = lambda c, w: F.when(F.col(c), w).otherwise(0.0)
+    weight = F.col("score") * 2 + flag("same_tel", 1.0) + flag("same_place", 1.0) + F.when(F.col("practice") >= ORG_AGREES, 1.0).otherwise(0.0) + flag("same_specialty", 0.5)
+    return asked.where(ok).select(F.col("x").alias("a"), F.col("y").alias("b"), weight.alias("weight"), "npi_a", "npi_b")
+
+
+def person_classes(rows: DataFrame) -> DataFrame:
+    """(id, root): the listings of one person; listings without links are left out.
+
+    Listings with one number are joined first. A listing without a number
+    joins the class it is linked to with the greatest weight; one that is
+    drawn equally to two classes joins none. What remains is joined among
+    itself.
+    """
+    links = cut(person_links(rows))
+    core = components(links.where("npi_a = npi_b"))
+    ends = links.where("npi_a is null or npi_b is null")
+    sides = cut(ends.select(F.col("a").alias("id"), F.col("npi_a").alias("own"), F.col("b").alias("other"), "weight").unionByName(ends.select(F.col("b").alias("id"), F.col("npi_b").alias("own"), F.col("a").alias("other"), "weight")))
+    # Every row with a number is a class, if only of itself.
+    settled = rows.where("npi is not null").select("id").join(core, "id", "left").select("id", F.coalesce("root", "id").alias("root"))
+    torn = None
+    for _ in range(2):
+        loose = sides.where("own is null").join(settled.select("id"), "id", "left_anti")
+        drawn = loose.join(settled.select(F.col("id").alias("other"), "root"), "other").groupBy("id", "root").agg(F.max("weight").alias("w"))
+        best = drawn.groupBy("id").agg(F.max(F.struct("w", "root")).alias("m"), F.collect_set("w").alias("ws"), F.count("*").alias("n"), F.max("w").alias("top"))
+        # Of the classes' weights only the two greatest matter; an equal second is a second class of the top weight.
+        second = drawn.join(best.select("id", "top", F.col("m.root").alias("first")), "id").where((F.col("root") != F.col("first")) & (F.col("w") >= F.col("top") - 1e-9)).select("id").distinct()
+        joined = best.join(second, "id", "left_anti").select("id", F.col("m.root").alias("root"))
+        torn = second if torn is None else torn.unionByName(second)
+        settled = cut(settled.unionByName(joined))
+        torn = cut(torn)
+    left = ends.where("npi_a is null and npi_b is null")
+    out_of = settled.select("id").unionByName(torn).distinct()
+    for e in ("a", "b"):
+        left = left.join(out_of.select(F.col("id").alias(e)), e, "left_anti")
+    return settled.unionByName(components(left))
+
+
+def pairs_of(classes: DataFrame, id_type: str = "bigint") -> DataFrame:
+    """(id_a, id_b), id_a < id_b, of all rows of one class."""
+    a, b = classes.alias("a"), classes.alias("b")
+    return a.join(b, (F.col("a.root") == F.col("b.root")) & (F.col("a.id") < F.col("b.id"))).select(F.col("a.id").cast(id_type).alias("id_a"), F.col("b.id").cast(id_type).alias("id_b"))
+
+
+# Organizations
+
+
+def mentions(organizations: DataFrame, providers: DataFrame) -> DataFrame:
+    """Organizations (positive id) and the practices that listings name (negative id, one per listing)."""
+    cols = ["address", "city", "state", "zip"]
+    org = organizations.where("organization_id is not null").select((F.col("organization_id") * 2).alias("id"), F.col("name"), ten_digits(F.col("phone")).alias("tel"), site_of(F.col("website")).alias("site"), *cols)
+    pro = providers.where("provider_id is not null").select((F.col("provider_id") * 2 + 1).alias("id"), told(F.col("practice_name")).alias("name"), ten_digits(F.col("phone")).alias("tel"), F.lit(None).cast("string").alias("site"), *cols)
+    return placed(org.unionByName(pro), ["id", "name", "tel", "site"])
+
+
+def _is_org(col: str = "id") -> Column:
+    return F.col(col) % 2 == 0
+
+
+def org_links(rows: DataFrame) -> DataFrame:
+    """(a, b, score): an organization a, and an organization (a < b) or practice b that means the same.
+
+    Names must agree and the rows lie in one locality: the same postal code,
+    or town where one has no code, or place or telephone. Different postal
+    codes, states or telephones without a common place contradict. Campuses
+    named apart are apart. Rows without a name have no links.
+    """
+    kinds = {"z": F.col("zip5"), "c": F.col("city"), "l": F.col("place").cast("string"), "p": F.col("tel"), "w": F.col("site")}
+    toks = cut(tokens_of(rows, own_tokens))
+    near = cut(neighbours(toks))
+    listed = contexts(rows, kinds).join(toks, "id")
+    pairs = candidates(listed.where(_is_org()), listed, near).where(~_is_org("y") | (F.col("x") < F.col("y")))
+    full = pairs.join(rows.alias("a"), F.col("x") == F.col("a.id")).join(rows.alias("b"), F.col("y") == F.col("b.id"))
+    town = _near_city() & ~_differ("zip5")
+    sure = _same("place") | _same("tel")
+    here = sure | _same("zip5") | town
+    against = (_differ("zip5") & ~_same("place")) | _differ("state") | (_is_org("y") & _differ("tel") & ~_same("place") & ~_same("zip5"))
+    flat = full.where(here & ~against).select("x", "y", F.col("a.name").alias("na"), F.col("b.name").alias("nb"), F.coalesce("a.city", "b.city").alias("city"), (sure | _same("site")).alias("sure"), _same("zip5").alias("zip"))
+    scored = aligned(flat, "na", "nb", align_orgs, "score", "city")
+    ok = (F.col("score") > ORG_AGREES) | ((F.col("score") >= ACRONYM - 1e-9) & (F.col("sure") | F.col("zip"))) | ((F.col("score") > 0.3) & F.col("sure"))
+    return scored.where(ok).select(F.col("x").alias("a"), F.col("y").alias("b"), (F.col("score") + F.when(F.col("sure"), 0.5).otherwise(0.0)).alias("score"))
+
 
+def org_classes(links: DataFrame) -> DataFrame:
+    """(id, root) of organizations that are linked."""
+    return components(links.where(_is_org("b")).select("a", "b"))
 
-def _located(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    loc = table(spark, sf_dir, "locations").select(F.col("location_id").alias("id"), "address", "city", "state", "zip")
-    pro = table(spark, sf_dir, "providers").select(F.col("provider_id").alias("id"), "address", "city", "state", "zip")
-    rows = cut(addresses.read_addresses(loc.withColumn("kind", F.lit("location")).unionByName(pro.withColumn("kind", F.lit("provider"))), ["kind", "id"]))
-    both = cut(addresses.with_place(rows, addresses.places(rows)))
-    return both.where("kind = 'location'"), both.where("kind = 'provider'")
 
+def practice_pairs(links: DataFrame, classes: DataFrame) -> DataFrame:
+    """(id_a, id_b): an organization and a listing whose practice means it or another row of its class.
 
-def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Locations of one place, and providers at it."""
-    loc, pro = _located(spark, sf_dir)
-    pairs = addresses.same_place(loc, loc, "id", "id").where("id_a < id_b").withColumn("kind", F.lit("location"))
-    out = pairs.unionByName(addresses.same_place(loc, pro, "id", "id").withColumn("kind", F.lit("provider")))
-    return out.select("kind", "id_a", "id_b").distinct()
+    A practice belongs to the class it agrees with best.
+    """
+    own = links.where(~_is_org("b")).join(classes.select(F.col("id").alias("a"), "root"), "a", "left").select("b", F.coalesce("root", "a").alias("root"), "score")
+    drawn = own.groupBy("b", "root").agg(F.max("score").alias("score"))
+    top = drawn.groupBy("b").agg(F.max("score").alias("top"))
+    best = drawn.join(top, "b").where("score >= top - 1e-9").select("b", "root")
+    members = classes.select("id", "root").unionByName(best.select(F.col("root").alias("id"), "root")).distinct()
+    return best.join(members, "root").select((F.col("id") / 2).cast("bigint").alias("id_a"), ((F.col("b") - 1) / 2).cast("bigint").alias("id_b"))
 
 
-QUERIES = {"p7_found": p7_found}
-ORACLE: dict[str, str] = {}
+def has_name(name: str | None) -> bool:
+    return bool(read_org(name))

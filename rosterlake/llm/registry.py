@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from rosterlake.llm import linking
+from rosterlake.llm import entities
 from rosterlake.llm import queries as plain
 
-MODULES = (plain, linking)
+MODULES = (plain, entities)
 
 
 def queries() -> dict:
