@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from rosterlake.plans import directory
+from rosterlake.plans import directory, q_functions
 
-MODULES = (directory,)
+MODULES = (directory, q_functions)
 
 
 def queries() -> dict:
