@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from rosterlake.plans import directory, q_functions
+from rosterlake.plans import directory, q_functions, q_relational
 
-MODULES = (directory, q_functions)
+MODULES = (directory, q_functions, q_relational)
 
 
 def queries() -> dict:
