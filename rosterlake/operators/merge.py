@@ -74,14 +74,17 @@ def upsert(old: DataFrame, batch: DataFrame, key: str, compared: list[str], run_
     return Merged(state, j.select(key, "outcome"), changes)
 
 
-def null_safe_upsert(old: DataFrame, batch: DataFrame, keys: list[str], compared: list[str]) -> DataFrame:
-    """``keys`` and ``outcome`` of a batch on nullable values; a row with a null key is always NEW. '' differs from NULL."""
+def null_safe_upsert(old: DataFrame, batch: DataFrame, keys: list[str], compared: list[str], shown: list[str] | None = None) -> DataFrame:
+    """``shown`` columns (default ``keys``) and ``outcome`` of each row of a batch.
+
+    Values are compared so that nulls are equal and '' differs from NULL; a row with a null key is always NEW.
+    """
     o = old.select(*[F.col(k).alias(f"o_{k}") for k in keys], *[F.col(c).alias(f"o_{c}") for c in compared], F.lit(True).alias("__old"))
     equal = F.lit(True)
     for c in compared:
         equal = equal & F.col(c).eqNullSafe(F.col(f"o_{c}"))
     joined = batch.join(o, [F.col(k) == F.col(f"o_{k}") for k in keys], "left")
-    return joined.select(*keys, F.when(F.col("__old").isNull(), "NEW").when(equal, "UNCHANGED").otherwise("CHANGED").alias("outcome"))
+    return joined.select(*(shown or keys), F.when(F.col("__old").isNull(), "NEW").when(equal, "UNCHANGED").otherwise("CHANGED").alias("outcome"))
 
 
 def insert_missing(old: DataFrame, batch: DataFrame, keys: list[str]) -> DataFrame:

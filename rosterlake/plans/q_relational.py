@@ -37,9 +37,10 @@ def fil01_search(spark, d):
     return hits.select("provider_id", "full_name", "npi")
 
 
-@C.query("SELECT provider_id, full_name FROM providers WHERE npi = '1265285688'")
+@C.query("SELECT provider_id, full_name FROM providers WHERE npi = (SELECT max(npi) FROM providers)")
 def fil02_lookup(spark, d):
-    return queues.lookup(table(spark, d, "providers"), npi="1265285688", profile_url=None).select("provider_id", "full_name")
+    rows = table(spark, d, "providers")
+    return queues.lookup(rows, npi=rows.agg(F.max("npi")).first()[0], profile_url=None).select("provider_id", "full_name")
 
 
 @C.query(f"SELECT id, status, attempts FROM {_LEDGER} WHERE status IN ('pending', 'error') AND attempts < 4")
