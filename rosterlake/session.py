@@ -52,6 +52,16 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """``df`` over all cores if it is read in fewer parts than there are, as a single small file is; else as it is.
+
+    What is moved then is at most the cores' number of input splits; a large
+    table is never shuffled by this.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def blank_to_null(col):
     """'' and white space only become NULL."""
     return F.when(F.trim(col) != "", F.trim(col))
