@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rosterlake.functions.states import CODES, STATE_CODES
-from rosterlake.session import cut
+from rosterlake.session import cut, spread
 
 #: Ways to write the kind of a street, directions, numbers and parts of a building.
 SUFFIXES = {
@@ -191,7 +191,7 @@ def read_addresses(rows: DataFrame, keys: list[str]) -> DataFrame:
             out = pdf.iloc[[i for i, _ in got]][keys].reset_index(drop=True)
             yield pd.concat([out, pd.DataFrame([r for _, r in got], columns=FIELDS, dtype=object)], axis=1)
 
-    return kept.mapInPandas(read, schema)
+    return spread(kept).mapInPandas(read, schema)
 
 
 def deletes(text: Column) -> Column:

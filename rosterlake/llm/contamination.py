@@ -15,6 +15,7 @@ from __future__ import annotations
 import math
 from collections import Counter, defaultdict
 from collections.abc import Iterator
+from itertools import accumulate
 
 import numpy as np
 import pandas as pd
@@ -22,11 +23,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rosterlake.llm.text import words
+from rosterlake.session import spread
 
 #: Words in a row that make a case.
 RUN = 12
-#: Words of a passage; passages overlap by RUN - 1 words, so that no run is cut.
-PASSAGE = 64
+#: Most words of a passage; passages overlap by RUN - 1 words, so that no run is cut.
+PASSAGE = 24
 #: Postings per block of the index.
 BLOCK = 32
 #: Items per index. More items are taken in blocks, each against all documents.
@@ -102,15 +104,28 @@ class ItemIndex:
                 found.append(item)
 
     def leaked(self, text: list[str]) -> set[int]:
-        """Ids of the items of which the words hold a run."""
+        """Ids of the items of which the words hold a run.
+
+        Queried are passages made of places at which a run could begin: where
+        the greatest impacts of the next ``run`` words reach the threshold.
+        """
         out: set[int] = set()
-        step = PASSAGE - self.run + 1
-        for k in range(0, max(1, len(text) - self.run + 1), step):
-            passage = text[k : k + PASSAGE]
+        sums = [0.0, *accumulate(self.top.get(w, 0.0) for w in text)]
+        last, step = len(text) - self.run, PASSAGE - self.run + 1
+        k = 0
+        while k <= last:
+            if sums[k + self.run] - sums[k] < 1 - 1e-6:
+                k += 1
+                continue
+            end = k + 1
+            while end <= last and end < k + step and sums[end + self.run] - sums[end] >= 1 - 1e-6:
+                end += 1
+            passage = text[k : end - 1 + self.run]
             hits = self.above(set(passage))
             if hits:
-                runs = [" ".join(passage[j : j + self.run]) for j in range(len(passage) - self.run + 1)]
+                runs = [" ".join(passage[j : j + self.run]) for j in range(end - k)]
                 out.update(self.ids[n] for n in hits if not self.runs[n].isdisjoint(runs))
+            k = end
         return out
 
 
@@ -136,7 +151,7 @@ def leaks(documents: DataFrame, items: DataFrame, run: int = RUN) -> DataFrame:
                 hits = [(d, i) for d, t in zip(pdf.doc_id, pdf.text) for i in index.value.leaked(words(t))]
                 yield pd.DataFrame(hits, columns=["doc_id", "item_id"], dtype="int64")
 
-        parts.append(documents.where("doc_id is not null and text is not null").select("doc_id", "text").mapInPandas(probe, "doc_id long, item_id long"))
+        parts.append(spread(documents.where("doc_id is not null and text is not null").select("doc_id", "text")).mapInPandas(probe, "doc_id long, item_id long"))
     if not parts:
         return documents.select("doc_id", F.lit(None).cast("long").alias("item_id")).limit(0)
     out = parts[0]

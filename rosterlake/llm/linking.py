@@ -21,7 +21,7 @@ from rosterlake.llm.graph import components, neighbours
 from rosterlake.llm.names import align_persons, person_tokens, share_given
 from rosterlake.llm.orgnames import ACRONYM, align_orgs, own_tokens, read_org
 from rosterlake.llm.survivors import told, valid_npi
-from rosterlake.session import cut
+from rosterlake.session import cut, spread
 
 #: Agreement of persons' names that a context asks for: with a number, telephone, place or practice, and with a locality only.
 NEAR_CONTEXT, LOCALITY_ONLY = 0.2, 0.6
@@ -56,7 +56,7 @@ def located(rows: DataFrame, keep: list[str]) -> DataFrame:
             ]
             yield pd.concat([pdf[keep].reset_index(drop=True), pd.DataFrame(got, columns=addresses.FIELDS, dtype=object)], axis=1)
 
-    return kept.mapInPandas(read, schema)
+    return spread(kept).mapInPandas(read, schema)
 
 
 def placed(rows: DataFrame, keep: list[str]) -> DataFrame:

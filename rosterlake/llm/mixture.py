@@ -17,6 +17,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from rosterlake.session import spread
+
 #: Where the vocabulary files of public tokenizers are; a parameter of every call.
 TOKENIZERS = os.environ.get("TOKENIZERS_PATH", "/opt/tokenizers")
 #: Groups into which a source's documents are dealt by hash for running sums: about this many documents each.
@@ -47,7 +49,7 @@ def token_counts(documents: DataFrame, path: str = TOKENIZERS, vocabulary: str =
             yield pd.DataFrame({"doc_id": pdf.doc_id, "source": pdf.source, "tokens": [len(coder.encode_ordinary(t)) if t else 0 for t in pdf.text]})
 
     read = documents.where("doc_id is not null").select("doc_id", source_key(F.col("source")).alias("source"), F.coalesce("text", F.lit("")).alias("text"))
-    return read.mapInPandas(count, "doc_id long, source string, tokens long")
+    return spread(read).mapInPandas(count, "doc_id long, source string, tokens long")
 
 
 def plan(available: DataFrame, targets: DataFrame, total: float | None = None, ramp: float = RAMP) -> DataFrame:

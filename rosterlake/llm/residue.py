@@ -20,9 +20,11 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from rosterlake.session import spread
+
 #: Labelled documents in training: so many with a weak label and so many without, taken by hash. A bound on the
 #: training set only; every document is scored.
-TRAIN_LABELLED, TRAIN_OTHER = 6000, 9000
+TRAIN_LABELLED, TRAIN_OTHER = 4000, 5000
 #: Hashed features, and the strength of the L2 penalty.
 BUCKETS, PENALTY = 1 << 17, 2e-6
 
@@ -50,6 +52,7 @@ PHRASES = (
     r"\bnot available in your region\b",
     r"^\W*traceback\b|\bcould not read field '|\b(?:key|type|value|attribute)error in \w+",
     r"(?:\b(?:lorem|ipsum|dolor|sit|amet|magna|nulla|velit|quisque|aliquam|luctus|tellus|vestib\w*|rutrum|ornare|porta|semper|justo|orci|nunc|massa|consectetur|adipiscing|elit)\b\W*){4,}",
+    r"\berror en la plantilla\b|\bfalta el valor\b|\btemplate error\b|\bmissing value for\b",
     r"\b(?:text|content|biography|bio) (?:goes|will appear|to come) (?:here|in this)\b|\bis a placeholder until\b",
     r"\bsample paragraph for layout\b|^\W*enter description\b|\btest test\b|\btexto de ejemplo\b|\bescriba aqu[ií]\b",
     r"^\W*(?:headline|subheadline|body copy|call to action)\W*$|\bfirstname lastname\b|\bstreet address line\b",
@@ -62,10 +65,11 @@ PHRASES = (
 )
 WEAK = "|".join(f"(?:{p})" for p in (*STATUS, *PHRASES))
 #: Java reads the same patterns.
-WEAK_JAVA = "(?ium)" + WEAK
+WEAK_JAVA = "(?im)" + WEAK
 _WEAK = re.compile(WEAK, re.I | re.M)
 
 _SPLIT = re.compile(r"(?<=[.!?…])\s+|\n+")
+_WRAPPED = re.compile(r"((?<=[^\W\d_])-)?\s*\n(?=[a-zà-ÿ])")
 #: A name in marks that a template engine would have replaced.
 _SLOT = re.compile(r"(\{\{|\{%|<%=?|\$\{|\[\[|@@|\||~|%|\{|\[)\s*([A-Za-z_.]+(?:[ ./][A-Za-z_.]+)*)\s*(\}\}|%\}|%>|\}|\]\]|@@|\||~|%|\])")
 #: The feature of a slot is given several times, so that the words around it don't outweigh it.
@@ -74,7 +78,8 @@ _TOKEN = re.compile(r"[^\W\d_]+(?:_[^\W\d]+)*|\d+|[^\w\s]+|_+")
 
 
 def segments(text: str) -> list[str]:
-    """The sentences and lines of a text; white space alone is none."""
+    """The sentences and lines of a text; white space alone is none. A line that goes on in small letters is joined."""
+    text = _WRAPPED.sub(lambda m: "" if m[1] else " ", text)
     return [s for s in (x.strip() for x in _SPLIT.split(text)) if s]
 
 
@@ -124,7 +129,7 @@ class Model:
         return 1 / (1 + np.exp(-(z + self.bias))) if np.isfinite(z) else 0.0
 
 
-def _fit(rows: list[list[int]], y: np.ndarray, steps: int = 300) -> tuple[np.ndarray, float]:
+def _fit(rows: list[list[int]], y: np.ndarray, steps: int = 100) -> tuple[np.ndarray, float]:
     """Logistic regression with an L2 penalty by Adagrad over the whole set."""
     lengths = np.array([len(r) for r in rows])
     flat = np.concatenate([np.array(r, dtype=np.int64) for r in rows])
@@ -154,8 +159,10 @@ def train(documents: DataFrame, labelled: int = TRAIN_LABELLED, other: int = TRA
     0.5 where these hold too little of either class.
     """
     host = F.lower(F.try_parse_url(F.trim("url"), F.lit("HOST")))
-    read = documents.where("text is not null and trim(text) <> ''").select("text", host.alias("host"), F.col("text").rlike(WEAK_JAVA).alias("y"), F.xxhash64("doc_id", F.lit(seed)).alias("h"))
-    rows = [r for flag, n in ((True, labelled), (False, other)) for r in read.where(F.col("y") == flag).orderBy("h", F.xxhash64("text")).limit(n).collect()]
+    read = spread(documents.where("text is not null and trim(text) <> ''").select("text", host.alias("host"), F.xxhash64("doc_id", F.lit(seed)).alias("h")))
+    # One pass looks for weak labels; the others are the first by hash, whatever they are.
+    first = read.orderBy("h", F.xxhash64("text")).limit(other).collect()
+    rows = [*{r.h: r for r in (*first, *read.where(F.col("text").rlike(WEAK_JAVA)).orderBy("h", F.xxhash64("text")).limit(labelled).collect())}.values()]
     xs, ys, held = [], [], []
     for r in rows:
         segs = segments(r.text)
@@ -176,7 +183,7 @@ def train(documents: DataFrame, labelled: int = TRAIN_LABELLED, other: int = TRA
     threshold = 0.5
     if h.any() and 20 <= y[h].sum() <= h.sum() - 20:
         p = np.array([1 / (1 + np.exp(-(w[x].sum() + b))) for x, o in zip(xs, h) if o])
-        best = max((_f1(p >= t, y[h]) + (t,) for t in np.linspace(0.4, 0.9, 11)), key=lambda v: (round(v[0], 4), -abs(v[3] - 0.5)))
+        best = max((_f1(p >= t, y[h]) + (t,) for t in np.linspace(0.5, 0.9, 9)), key=lambda v: (round(v[0], 4), -abs(v[3] - 0.5)))
         threshold = float(best[3])
         said |= {"f1": best[0], "precision": best[1], "recall": best[2]}
         w, b = _fit(xs, y)  # with what is known now, on all hosts
@@ -198,7 +205,7 @@ def scored(documents: DataFrame, model: Model) -> DataFrame:
         for pdf in batches:
             yield pd.DataFrame({"doc_id": pdf.doc_id, "score": [m.score(t) if t else 0.0 for t in pdf.text]})
 
-    return documents.where("doc_id is not null").select("doc_id", "text").mapInPandas(score, "doc_id long, score double")
+    return spread(documents.where("doc_id is not null").select("doc_id", "text")).mapInPandas(score, "doc_id long, score double")
 
 
 def affected(documents: DataFrame, model: Model | None = None) -> DataFrame:
