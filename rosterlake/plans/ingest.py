@@ -13,6 +13,7 @@ from rosterlake.operators import rules
 from rosterlake.operators.lookup import dereference
 from rosterlake.operators.nested import latest_records
 from rosterlake.operators.primary import first_holding, primary_by_count
+from rosterlake.session import cut
 
 # Resources
 
@@ -29,7 +30,8 @@ class Views:
 
 def resource_views(spool: DataFrame, npi_part: str = "npi") -> Views:
     """Views of a spool (resource_type, resource_id, body, spooled_at, spool_seq). A resource repeated counts once."""
-    newest = latest_records(spool).withColumn("v", F.parse_json(F.to_json("record"))).drop("record", "body")
+    # Four views and several joins read it: the newest states are found once and kept as text.
+    newest = cut(latest_records(spool).drop("record")).withColumn("v", F.parse_json("body")).drop("body")
     of = lambda t: newest.where(F.col("resource_type") == t)
     v = F.col("v")
     refs = lambda path: F.filter(F.transform(fhir.items(v, path), lambda x: fhir.reference(fhir.text(x, "$.reference"))), lambda r: r.isNotNull())
@@ -178,7 +180,8 @@ def crawl(urls: DataFrame, cards: DataFrame, pages: DataFrame, registry: DataFra
         (F.col("npi").isNull(), "no number in address"), (F.col("html").isNull() & F.col("card").isNull(), "page and card missing"), (documents.is_error_page(F.col("html"), F.col("p.name")), "error page"),
         (F.col("shown").isNull() & F.col("r_npi").isNull(), "no name and no registry record"), (~F.col("kind.type").isin("Physician", "APP"), "not an individual"), (F.size(wrong) > 0, "invalid"),
     )
-    judged = named.withColumn("reason", F.when(reason == "invalid", F.array_join(wrong, "; ")).otherwise(reason))
+    # Parsed once and kept, as good and excluded records are both read from it, and so that the filter on the reason isn't pushed into the parsing.
+    judged = cut(named.withColumn("why", reason).withColumn("reason", F.when(F.col("why") == "invalid", F.array_join(wrong, "; ")).otherwise(F.col("why"))).drop("html", "card", "why"))
     trust = rules.site_confidence(F.col("location_count"), F.col("r_npi").isNotNull(), F.col("name_match"), F.col("kind.confidence"))
     remarks = rules.warnings(F.col("npi"), F.col("enumeration"), F.col("name_match"), policy)
     good = judged.where("reason is null").select(

@@ -36,7 +36,7 @@ HOSPITAL_COLUMNS = {"Facility ID": "source_id", "Facility Name": "name", "Addres
 def hospitals_from_csv(rows: DataFrame) -> DataFrame:
     """The hospital file as organizations; placeholder cells are NULL, names only trimmed, their key folded."""
     read = rows.select(*[without_placeholder(F.col(f"`{c}`"), "cms").alias(n) for c, n in HOSPITAL_COLUMNS.items()])
-    return read.where("name is not null").withColumn("normalized_name", org_key("name")).withColumns({"source": F.lit("CMS"), "organization_type": F.lit("hospital")})
+    return read.where("name is not null").withColumn("normalized_name", org_key(F.col("name"))).withColumns({"source": F.lit("CMS"), "organization_type": F.lit("hospital")})
 
 
 def read_json_or_empty(spark: SparkSession, path: str, schema: str) -> DataFrame:
