@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import zipfile
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,7 +21,22 @@ def build_session(app: str = "rosterlake", master: str | None = None, **conf: st
         "spark.sql.execution.arrow.pyspark.enabled": "true",
     } | {k.replace("__", "."): v for k, v in conf.items()}
     builder = SparkSession.builder.appName(app).config(map=settings)
-    return (builder.master(master) if master else builder).getOrCreate()
+    return ship((builder.master(master) if master else builder).getOrCreate())
+
+
+def ship(spark: SparkSession) -> SparkSession:
+    """Send this package to the executors' Python, once per application, so that they needn't have it installed."""
+    context = spark.sparkContext
+    if not getattr(context, "_has_rosterlake", False):
+        root = Path(__file__).resolve().parent
+        # Only the driver reads this file; Spark's own file server hands it on.
+        target = Path(tempfile.mkdtemp(prefix="rosterlake-")) / "rosterlake.zip"
+        with zipfile.ZipFile(target, "w", zipfile.ZIP_DEFLATED) as z:
+            for f in sorted(root.rglob("*.py")):
+                z.write(f, f.relative_to(root.parent))
+        context.addPyFile(str(target))
+        context._has_rosterlake = True
+    return spark
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
