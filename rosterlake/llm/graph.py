@@ -43,6 +43,9 @@ def neighbours(tokens: DataFrame, most: int = 2) -> DataFrame:
     forms = plain.select("t", F.explode(deletes(F.col("t"))).alias("d"))
     found = forms.join(forms.select(F.col("t").alias("u"), "d"), "d").where("t < u").select("t", "u").distinct()
     d = F.levenshtein("t", "u")
-    swap = (d == 2) & (F.length("t") == F.length("u")) & (F.array_join(F.array_sort(F.split("t", "")), "") == F.array_join(F.array_sort(F.split("u", "")), ""))
+    at = F.filter(F.sequence(F.lit(1), F.length("t")), lambda i: F.substring(F.col("t"), i, F.lit(1)) != F.substring(F.col("u"), i, F.lit(1)))
+    first = F.get(at, F.lit(0))
+    crossed = (F.substring(F.col("t"), first, F.lit(1)) == F.substring(F.col("u"), first + 1, F.lit(1))) & (F.substring(F.col("t"), first + 1, F.lit(1)) == F.substring(F.col("u"), first, F.lit(1)))
+    swap = (d == 2) & (F.length("t") == F.length("u")) & (F.size(at) == 2) & (F.get(at, F.lit(1)) == first + 1) & crossed
     kept = found.where((d <= 1) | swap | ((d <= most) & (F.least(F.length("t"), F.length("u")) >= 8)))
     return vocabulary.select("t", F.col("t").alias("u")).unionByName(kept).unionByName(kept.select(F.col("u").alias("t"), F.col("t").alias("u")))

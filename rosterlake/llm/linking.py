@@ -238,7 +238,7 @@ def org_links(rows: DataFrame) -> DataFrame:
     town = _near_city() & ~_differ("zip5")
     sure = _same("place") | _same("tel")
     here = sure | _same("zip5") | town
-    against = (_differ("zip5") & ~_same("place")) | _differ("state") | (_is_org("y") & _differ("tel") & ~_same("place") & ~_same("zip5"))
+    against = (_differ("zip5") & ~_same("place")) | _differ("state") | (_is_org("y") & _differ("tel") & ~_same("place"))
     flat = full.where(here & ~against).select("x", "y", F.col("a.name").alias("na"), F.col("b.name").alias("nb"), F.coalesce("a.city", "b.city").alias("city"), (sure | _same("site")).alias("sure"), _same("zip5").alias("zip"))
     scored = aligned(flat, "na", "nb", align_orgs, "score", "city")
     ok = (F.col("score") > ORG_AGREES) | ((F.col("score") >= ACRONYM - 1e-9) & (F.col("sure") | F.col("zip"))) | ((F.col("score") > 0.3) & F.col("sure"))

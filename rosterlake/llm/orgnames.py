@@ -6,7 +6,7 @@ import re
 from functools import lru_cache
 
 from rosterlake.llm.addresses import near
-from rosterlake.llm.names import best_assignment, edits_allowed, plain
+from rosterlake.llm.names import best_assignment, plain
 
 #: Words for kinds of organizations with their abbreviations and other spellings.
 KINDS = {
@@ -75,7 +75,7 @@ def _token(a: str, b: str) -> float:
     if a in _KNOWN and b in _KNOWN:
         return 0.8 if b in _OPEN.get(a, ()) or a in _OPEN.get(b, ()) else 0.0
     short = min(len(a), len(b))
-    if near(a, b, edits_allowed(short)):
+    if near(a, b, 0 if short < 4 else 1 if short < 10 else 2):
         return 0.85
     for x, y in ((a, b), (b, a)):
         # An abbreviation keeps the first letter and the order of the others.
@@ -93,16 +93,16 @@ def initials(toks: tuple[str, ...], campus: str = "") -> str:
 
 def _one(x: tuple, y: tuple, city: frozenset[str]) -> float:
     (ta, ca, aa), (tb, cb, ab) = x, y
-    if ca and cb and ca != cb:
-        return 0.0
     for (t1, a1), (t2, c2) in (((ta, aa), (tb, cb)), ((tb, ab), (ta, ca))):
         if a1 and len(a1) > 1 and len(t2) > 1:
             rest = [t for t in t1[1:] if t not in city]
             short = "".join(sorted(a1))
             if all(r in t2 or any(_token(r, t) > 0 for t in t2) for r in rest):
                 own = tuple(t for t in t2 if t not in city) or t2
-                if short in (initials(t2, c2), initials(t2), initials(own, c2), initials(own)):
+                if short in (initials(t2, c2), initials(own, c2)):
                     return ACRONYM
+    if ca != cb:
+        return 0.0
     drop = lambda ts: tuple(t for t in ts if t not in city) or ts
     best = 0.0
     for a, b in {(ta, tb), (drop(ta), tb), (ta, drop(tb)), (drop(ta), drop(tb))}:
@@ -128,7 +128,7 @@ def _one(x: tuple, y: tuple, city: frozenset[str]) -> float:
         all_w = max(sum(map(weight, a)), sum(map(weight, b)))
         got = sum(weight(a[i]) * _token(a[i], b[j]) for i, j in pairs)
         best = max(best, got / all_w)
-    return best * (0.7 if ca != cb else 1.0)
+    return best
 
 
 @lru_cache(maxsize=500_000)
@@ -138,13 +138,14 @@ def align_orgs(a: str | None, b: str | None, city: str | None = None) -> float:
     Tokens are aligned by optimal assignment, permitting typing errors and
     abbreviations. Words that name the organization must be found on both
     sides; a word of its kind may be left out on one side. Acronyms agree with
-    names that have these initials. ``city`` may stand in a name or not.
+    names that have these initials. A campus must be named on both sides or
+    on none. ``city`` may stand in a name or not.
     Aliases in a name agree in their own right. Empty names agree with nothing.
     """
     own = frozenset(_WORD.get(t, t) for t in re.findall(r"[a-z]+", plain(city or "")))
     best = 0.0
-    for x in _versions(a):
-        for y in _versions(b):
+    for x in versions(a):
+        for y in versions(b):
             if x[1] and y[1] and best:
                 continue
             for i, p in enumerate(read_org(x[0])):
@@ -153,7 +154,7 @@ def align_orgs(a: str | None, b: str | None, city: str | None = None) -> float:
     return best
 
 
-def _versions(name: str | None) -> list[tuple[str | None, bool]]:
+def versions(name: str | None) -> list[tuple[str | None, bool]]:
     """The name, and the name without what follows a dash or comma at its end, as a town would."""
     out: list[tuple[str | None, bool]] = [(name, False)]
     if name:
@@ -169,7 +170,7 @@ def own_tokens(name: str | None) -> list[str]:
     A name without words of its own gives all of its words joined by '_'.
     """
     out: set[str] = set()
-    for version, _ in _versions(name):
+    for version, _ in versions(name):
         for toks, campus, acronym in read_org(version):
             own = [t for t in toks if t not in _KNOWN and len(t) > 2]
             out.update(own)
