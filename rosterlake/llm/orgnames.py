@@ -64,6 +64,9 @@ def read_org(name: str | None) -> tuple[tuple[tuple[str, ...], str, str], ...]:
 
 #: The agreement of an acronym with a name that has these initials.
 ACRONYM = 0.55
+#: What two typing errors in a short word count; a name with them agrees no better than FAR, for which a place or
+#: telephone in common must speak.
+TWO_ERRORS, FAR = 0.6, 0.5
 #: What an agreement with an alias counts, of one with the name itself.
 ALIAS = 0.5
 
@@ -77,6 +80,8 @@ def _token(a: str, b: str) -> float:
     short = min(len(a), len(b))
     if near(a, b, 0 if short < 4 else 1 if short < 10 else 2):
         return 0.85
+    if short >= 8 and near(a, b, 2):
+        return TWO_ERRORS
     for x, y in ((a, b), (b, a)):
         # An abbreviation keeps the first letter and the order of the others.
         if y in _KNOWN and x not in _KNOWN and 3 <= len(x) < len(y) and x[0] == y[0]:
@@ -127,7 +132,8 @@ def _one(x: tuple, y: tuple, city: frozenset[str]) -> float:
         weight = lambda t: 2.0 if t not in _KNOWN else 1.0
         all_w = max(sum(map(weight, a)), sum(map(weight, b)))
         got = sum(weight(a[i]) * _token(a[i], b[j]) for i, j in pairs)
-        best = max(best, got / all_w)
+        far = any(_token(a[i], b[j]) == TWO_ERRORS for i, j in pairs)
+        best = max(best, min(got / all_w, FAR) if far else got / all_w)
     return best
 
 
