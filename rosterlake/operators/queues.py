@@ -81,3 +81,32 @@ def one_pass_counts(rows: DataFrame, **conditions: Column) -> DataFrame:
 def page(rows: DataFrame, order: list[str], number: int, size: int) -> DataFrame:
     """The page of that number (from 0) in order."""
     return rows.orderBy(*order).offset(number * size).limit(size)
+
+
+def mark(ledger: DataFrame, done: DataFrame, as_of: str) -> DataFrame:
+    """Work after a batch (id, status, error): one attempt more, errors cut to 500 characters, fetched now."""
+    d = done.select("id", F.col("status").alias("__s"), F.substring("error", 1, 500).alias("__e"), F.lit(True).alias("__in"))
+    j = ledger.join(d, "id", "left")
+    hit = F.coalesce("__in", F.lit(False))
+    new = {"status": F.when(hit, F.col("__s")).otherwise(F.col("status")), "attempts": F.col("attempts") + hit.cast("int"), "error": F.when(hit, F.col("__e")).otherwise(F.col("error")), "last_fetched": F.when(hit, F.lit(as_of).cast("timestamp")).otherwise(F.col("last_fetched"))}
+    return j.select(*[new[c].alias(c) if c in new else F.col(c) for c in ledger.columns])
+
+
+def requeue(ledger: DataFrame, ids: DataFrame) -> DataFrame:
+    """Work made pending again without attempts."""
+    j = ledger.join(ids.select("id", F.lit(True).alias("__in")), "id", "left")
+    new = {"status": F.when(F.col("__in"), "pending").otherwise(F.col("status")), "attempts": F.when(F.col("__in"), 0).otherwise(F.col("attempts"))}
+    return j.select(*[new[c].alias(c) if c in new else F.col(c) for c in ledger.columns])
+
+
+#: Counters that a finished run may carry.
+RUN_COUNTERS = ("new", "changed", "unchanged", "excluded", "errors", "deactivated")
+
+
+def finish_run(runs: DataFrame, run_id: int, as_of: str, counters: dict[str, int], notes: str | None = None) -> DataFrame:
+    """Runs with one finished; only known counters are taken (ValueError otherwise), notes are cut to 200 characters."""
+    unknown = sorted(set(counters) - set(RUN_COUNTERS))
+    if unknown:
+        raise ValueError(f"unknown counters: {', '.join(unknown)}")
+    new = {c: F.lit(v) for c, v in counters.items()} | {"finished_at": F.lit(as_of).cast("timestamp"), "notes": F.substring(F.lit(notes).cast("string"), 1, 200)}
+    return runs.select(*[F.when(F.col("run_id") == run_id, new[c].cast(runs.schema[c].dataType)).otherwise(F.col(c)).alias(c) if c in new else F.col(c) for c in runs.columns])

@@ -84,3 +84,17 @@ class Ledger:
         """Write data, and only then the marks that it is there."""
         data.write.mode("append").parquet(f"{self.path}/{name}")
         self.mark(marks)
+
+
+def resume_page(pages: DataFrame, restart: bool = False) -> DataFrame:
+    """(query, page, url): where each cursor goes on: the page after its last good one.
+
+    ``pages`` has (query, page, status, next_url). A cursor that has ended has
+    a null url; one whose last page failed goes on at the last good page's
+    next address. With ``restart``, as when a server has forgotten its
+    cursors, every query begins at page 0 with a null url.
+    """
+    last = pages.where("status = 'ok'").groupBy("query").agg(F.max_by(F.struct("page", "next_url"), "page").alias("l"))
+    every = pages.select("query").distinct().join(last, "query", "left")
+    start = F.lit(restart) | F.col("l").isNull()
+    return every.select("query", F.when(start, 0).otherwise(F.col("l.page") + 1).alias("page"), F.when(~start, F.col("l.next_url")).alias("url"))

@@ -121,3 +121,38 @@ def test_streams(spark, tmp_path):
     for _ in range(2):
         ev.upsert_batches(read(), f"{tmp_path}/state", f"{tmp_path}/cp", merge)
     assert rows(spark.read.parquet(f"{tmp_path}/state/v0")) == [("0", "5"), ("1", "5")]
+
+
+def test_adapters_and_discovery(spark, tmp_path):
+    from rosterlake.sources import adapters
+
+    with pytest.raises(ValueError, match="hospital-file"):
+        adapters.ORGANIZATIONS.get("none")
+    (tmp_path / "h.csv").write_text("Facility ID,Facility Name,Address,City/Town,State,ZIP Code,Telephone Number\n1,A,b,c,d,e,f\n")
+    a = adapters.ORGANIZATIONS.get("hospital-file")
+    assert a.normalize(a.read(spark, str(tmp_path / "h.csv"))).count() == 1 and not adapters.PROVIDERS.get("resource-spool").requires_profile_url
+    maps = spark.createDataFrame([("s", "<urlset><loc>p</loc>")], "url string, body string")
+    starts = spark.createDataFrame([("s",)], "url string")
+    coll = spark.createDataFrame([(0, json.dumps({"data": [{"type": "node--provider", "id": "1", "attributes": {"path": {"alias": "/q"}}}]}))], "page int, body string")
+    assert adapters.discover({"sitemaps": maps, "starts": starts, "collection": coll})[0] == "sitemap"
+    name, urls = adapters.discover({"sitemaps": maps.limit(0), "starts": starts, "collection": coll})
+    assert name == "collection" and rows(urls) == [("/q",)]
+    for bad in ({"forced": "none"}, {"forced": "sitemap"}):
+        with pytest.raises(ValueError):
+            adapters.discover({"collection": coll}, **bad)
+
+
+def test_queue_marks_runs_and_cursors(spark):
+    from rosterlake.operators import queues
+    from rosterlake.streaming.ledger import resume_page
+
+    q = spark.createDataFrame([(1, "pending", 0, None, None), (2, "error", 3, "old", None)], "id int, status string, attempts int, error string, last_fetched timestamp")
+    got = queues.mark(q, spark.createDataFrame([(1, "error", "x" * 900)], "id int, status string, error string"), "2024-01-01 00:00:00")
+    assert [(r.id, r.status, r.attempts, len(r.error or "")) for r in got.orderBy("id").collect()] == [(1, "error", 1, 500), (2, "error", 3, 3)]
+    assert rows(queues.requeue(got, spark.createDataFrame([(2,)], "id int")), "id", "status", "attempts") == [("1", "error", "1"), ("2", "pending", "0")]
+    runs = spark.createDataFrame([(1, None, 0, None)], "run_id int, finished_at timestamp, new int, notes string")
+    assert rows(queues.finish_run(runs, 1, "2024-01-01 00:00:00", {"new": 5}, "n" * 300).selectExpr("new", "length(notes)", "finished_at is not null")) == [("5", "200", "True")]
+    with pytest.raises(ValueError):
+        queues.finish_run(runs, 1, "2024-01-01 00:00:00", {"bad": 1})
+    pages = spark.createDataFrame([("a", 0, "ok", "u1"), ("a", 1, "failed", None), ("b", 0, "ok", None), ("c", 0, "failed", None)], "query string, page int, status string, next_url string")
+    assert rows(resume_page(pages)) == [("a", "1", "u1"), ("b", "1", None), ("c", "0", None)] and rows(resume_page(pages, True), "page") == [("0",)] * 3
