@@ -50,6 +50,9 @@ def shared_dir(spark: SparkSession) -> str:
     ``spark.checkpoint.dir`` of the session wins. Only a local master, as in
     tests, gets a temporary folder of its own when the setting is missing.
     """
+    in_use = spark.sparkContext.getCheckpointDir()
+    if in_use:
+        return in_use
     set_dir = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if set_dir:
         spark.sparkContext.setCheckpointDir(set_dir)
