@@ -186,9 +186,6 @@ def joi09_dereference(spark, d):
     return misses(resource_views(table(spark, d, "spool_resources")))
 
 
-_SNAP = "(SELECT provider_id, max_by(struct_pack(specialty := specialty, phone := phone), updated_date) AS r FROM provider_snapshots WHERE run_id = {0} GROUP BY 1)"
-
-
 def snapshot(spark, d, run):
     rows = table(spark, d, "provider_snapshots").where(c("run_id") == run)
     return rows.groupBy("provider_id").agg(F.max_by(F.struct("specialty", "phone", "full_name", "practice_name"), F.struct("updated_date", "specialty", "phone", "full_name", "practice_name")).alias("r")).select("provider_id", "r.*")

@@ -8,7 +8,6 @@ import zipfile
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 
 def build_session(app: str = "rosterlake", master: str | None = None, **conf: str) -> SparkSession:
@@ -79,8 +78,3 @@ def spread(df: DataFrame) -> DataFrame:
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
-def blank_to_null(col):
-    """'' and white space only become NULL."""
-    return F.when(F.trim(col) != "", F.trim(col))

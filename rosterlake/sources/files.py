@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rosterlake.functions.text import collapse, org_key, without_placeholder
+from rosterlake.functions.text import org_key, without_placeholder
 
 
 def exists(spark: SparkSession, path: str) -> bool:
@@ -109,7 +109,3 @@ def write_sheets(sheets: dict[str, DataFrame], folder: str, fmt: str = "csv") ->
         flat = df.select(*[F.col(f"`{f.name}`").cast("string") if isinstance(f.dataType, (T.ArrayType, T.StructType)) else F.col(f"`{f.name}`") for f in df.schema.fields]) if fmt == "csv" else df
         writer = flat.write.mode("overwrite")
         (writer.option("header", True) if fmt == "csv" else writer).format(fmt).save(str(Path(folder) / name) if "://" not in folder else f"{folder}/{name}")
-
-
-def tidy(c):
-    return collapse(c)
