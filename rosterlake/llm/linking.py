@@ -19,7 +19,7 @@ from rosterlake.llm import addresses
 from rosterlake.llm.addresses import read_address, read_city, read_state, read_zip
 from rosterlake.llm.graph import components, neighbours
 from rosterlake.llm.names import align_persons, person_tokens, share_given
-from rosterlake.llm.orgnames import ACRONYM, align_orgs, own_tokens, read_org
+from rosterlake.llm.orgnames import ACRONYM, align_orgs, own_tokens
 from rosterlake.llm.survivors import told, valid_npi
 from rosterlake.session import cut, spread
 
@@ -140,17 +140,15 @@ def person_links(rows: DataFrame) -> DataFrame:
     only the locality in common, names must agree well and specialties not
     differ. Rows without a name have no links.
     """
-    tight = {"n": F.col("npi"), "p": F.col("tel")}
-    loose = {"z": F.col("zip5"), "c": F.when(F.col("zip5").isNull(), F.col("city")), "y": F.col("city"), "l": F.col("place").cast("string"), "o": F.lower("practice")}
     toks = cut(tokens_of(rows, person_tokens))
-    more = tokens_of(rows, lambda n: person_tokens(n, True))
+    more = tokens_of(rows.where("npi is not null"), lambda n: person_tokens(n, True))
     near = cut(neighbours(toks.unionByName(more)))
-    no_zip = rows.where("zip5 is null").select("id")
-    wide = contexts(rows, {k: v for k, v in loose.items() if k != "y"}).join(toks, "id")
-    deep = contexts(rows, tight).join(more, "id")
-    # Rows without a postal code look for their town among all rows.
-    town_index, town_probe = contexts(rows, {"y": F.col("city")}).join(toks, "id"), contexts(rows, {"y": F.col("city")}).join(toks, "id").join(no_zip, "id", "left_semi")
-    both = [candidates(wide, wide, near), candidates(deep, deep, near), candidates(town_index, town_probe, near)]
+    town = contexts(rows, {"z": F.col("zip5"), "p": F.col("tel")}).join(toks, "id")
+    number = contexts(rows, {"n": F.col("npi")}).join(more, "id")
+    # A town, place or practice in common means a postal code in common, but for rows without one: only these look there.
+    index = contexts(rows, {"y": F.col("city"), "l": F.col("place").cast("string"), "o": F.lower("practice")}).join(toks, "id")
+    probe = index.join(rows.where("zip5 is null").select("id"), "id", "left_semi")
+    both = [candidates(town, town, near), candidates(number, number, near), candidates(index, probe, near)]
     pairs = reduce(DataFrame.unionByName, both).select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct()
     full = pairs.join(rows.alias("a"), F.col("x") == F.col("a.id")).join(rows.alias("b"), F.col("y") == F.col("b.id")).where(~_differ("npi"))
     flat = full.select(
@@ -229,11 +227,14 @@ def org_links(rows: DataFrame) -> DataFrame:
     codes, states or telephones without a common place contradict. Campuses
     named apart are apart. Rows without a name have no links.
     """
-    kinds = {"z": F.col("zip5"), "c": F.col("city"), "l": F.col("place").cast("string"), "p": F.col("tel"), "w": F.col("site")}
     toks = cut(tokens_of(rows, own_tokens))
     near = cut(neighbours(toks))
-    listed = contexts(rows, kinds).join(toks, "id")
-    pairs = candidates(listed.where(_is_org()), listed, near).where(~_is_org("y") | (F.col("x") < F.col("y")))
+    coded = contexts(rows, {"z": F.col("zip5")}).join(toks, "id")
+    # Rows with postal codes meet in these; what else is in common is asked only where one of the two has none.
+    other = contexts(rows, {"c": F.col("city"), "l": F.col("place").cast("string"), "p": F.col("tel"), "w": F.col("site")}).join(toks, "id")
+    bare = other.join(rows.where("zip5 is null").select("id"), "id", "left_semi")
+    found = [candidates(coded.where(_is_org()), coded, near), candidates(other.where(_is_org()), bare, near), candidates(bare.where(_is_org()), other, near)]
+    pairs = reduce(DataFrame.unionByName, found).distinct().where(~_is_org("y") | (F.col("x") < F.col("y")))
     full = pairs.join(rows.alias("a"), F.col("x") == F.col("a.id")).join(rows.alias("b"), F.col("y") == F.col("b.id"))
     town = _near_city() & ~_differ("zip5")
     sure = _same("place") | _same("tel")
@@ -261,7 +262,3 @@ def practice_pairs(links: DataFrame, classes: DataFrame) -> DataFrame:
     best = drawn.join(top, "b").where("score >= top - 1e-9").select("b", "root")
     members = classes.select("id", "root").unionByName(best.select(F.col("root").alias("id"), "root")).distinct()
     return best.join(members, "root").select((F.col("id") / 2).cast("bigint").alias("id_a"), ((F.col("b") - 1) / 2).cast("bigint").alias("id_b"))
-
-
-def has_name(name: str | None) -> bool:
-    return bool(read_org(name))
