@@ -9,6 +9,7 @@ import unicodedata
 _INLINE = re.compile(r"</?(?:b|i|em|strong|span|u|a|font|mark|sup|sub|small|s|code|tt)(?:\s[^<>]*)?/?>", re.I)
 _TAG = re.compile(r"<!--.*?-->|</?[A-Za-z][^<>]*>", re.S)
 _HYPHEN_END = re.compile(r"(?<=[^\W\d_])[-‐‑]\s*\n\s*(?=[^\W\d_])")
+_SOFT_END = re.compile(r"(?<=[^\W\d_])\xad\s*\n\s*(?=[^\W\d_])")
 _APOSTROPHE = re.compile(r"(?<=\w)['‘’ʼ](?=\w)")
 _WORD = re.compile(r"[^\W_]+")
 
@@ -29,6 +30,7 @@ def words(text: str | None) -> list[str]:
         if "<" in text:
             text = _TAG.sub(" ", _INLINE.sub("", text))
     if not text.isascii():
+        text = _SOFT_END.sub("", text)
         text = unicodedata.normalize("NFKD", text)
         text = "".join(c for c in text if c.isascii() or unicodedata.category(c) not in ("Mn", "Cf", "Cc", "Me"))
     text = _HYPHEN_END.sub("", text)
