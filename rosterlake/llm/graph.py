@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rosterlake.session import cut
 
+#: Letters from which on two typing errors are tolerated, the least of what the aligners ask for (names.edits_allowed).
+TWO_EDITS = 7
+
 
 def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """(id, root) for every record in ``links``: the smallest id it is connected to.
@@ -28,24 +32,28 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
             return labels
 
 
-def neighbours(tokens: DataFrame, most: int = 2) -> DataFrame:
+def neighbours(tokens: DataFrame) -> DataFrame:
     """(t, u): each token with itself and the tokens at a small edit distance, by symmetric deletion.
 
-    Tokens that share a form with at most one letter deleted are candidates;
-    the distance is then checked: one edit, or two in tokens of eight letters
-    and more. A swap of neighbours counts as one. The index is as large as the
+    One edit, or two in tokens of ``TWO_EDITS`` letters and more, a swap of
+    neighbours counting as one: no name is aligned with more. Tokens at that
+    distance share a form with as many letters deleted, so that none is
+    missed; the distance is then checked. The index is as large as the
     vocabulary, not as the table.
     """
-    from rosterlake.llm.addresses import deletes
+    from rosterlake.llm.addresses import deletes, near
 
     vocabulary = cut(tokens.select("t").distinct())
     plain = vocabulary.where("t rlike '^[a-z]{4,}$'")
-    forms = plain.select("t", F.explode(deletes(F.col("t"))).alias("d"))
+    once = deletes(F.col("t"))
+    twice = F.array_distinct(F.flatten(F.transform(once, deletes)))
+    forms = plain.select("t", F.explode(F.when(F.length("t") >= TWO_EDITS, twice).otherwise(once)).alias("d"))
     found = forms.join(forms.select(F.col("t").alias("u"), "d"), "d").where("t < u").select("t", "u").distinct()
-    d = F.levenshtein("t", "u")
-    at = F.filter(F.sequence(F.lit(1), F.length("t")), lambda i: F.substring(F.col("t"), i, F.lit(1)) != F.substring(F.col("u"), i, F.lit(1)))
-    first = F.get(at, F.lit(0))
-    crossed = (F.substring(F.col("t"), first, F.lit(1)) == F.substring(F.col("u"), first + 1, F.lit(1))) & (F.substring(F.col("t"), first + 1, F.lit(1)) == F.substring(F.col("u"), first, F.lit(1)))
-    swap = (d == 2) & (F.length("t") == F.length("u")) & (F.size(at) == 2) & (F.get(at, F.lit(1)) == first + 1) & crossed
-    kept = found.where((d <= 1) | swap | ((d <= most) & (F.least(F.length("t"), F.length("u")) >= 8)))
+
+    @F.pandas_udf("boolean")
+    def close(t: pd.Series, u: pd.Series) -> pd.Series:
+        return pd.Series([near(a, b, 2 if min(len(a), len(b)) >= TWO_EDITS else 1) for a, b in zip(t, u)], dtype="bool")
+
+    # Two swaps are four edits to levenshtein.
+    kept = cut(found.where(F.levenshtein("t", "u") <= 4).where(close("t", "u")))
     return vocabulary.select("t", F.col("t").alias("u")).unionByName(kept).unionByName(kept.select(F.col("u").alias("t"), F.col("t").alias("u")))

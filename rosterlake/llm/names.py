@@ -140,6 +140,10 @@ def best_assignment(scores: list[list[float]]) -> tuple[float, list[tuple[int, i
     return max(best.values(), key=lambda v: v[0])
 
 
+#: A family name may stand for one that goes on after it, if so many letters are in both and so many left over.
+SHORTENED = 5
+
+
 def _family_edits(name: str) -> int:
     return 0 if len(name) < 4 else 1 if len(name) < 9 else 2
 
@@ -155,7 +159,7 @@ def _family_score(a: tuple[str, ...], b: tuple[str, ...]) -> float:
         few, many = (a, b) if len(a) < len(b) else (b, a)
         if all(any(near(f, m, min(_family_edits(f), _family_edits(m))) for m in many) for f in few):
             return 0.7
-    elif len(a) == len(b) == 1 and min(len(x), len(y)) >= 5 and (x.startswith(y) or y.startswith(x)) and abs(len(x) - len(y)) >= 5:
+    elif len(a) == len(b) == 1 and min(len(x), len(y)) >= SHORTENED and (x.startswith(y) or y.startswith(x)) and abs(len(x) - len(y)) >= SHORTENED:
         return 0.6
     return -1.0
 
@@ -231,17 +235,21 @@ def share_given(a: str | None, b: str | None) -> bool:
 
 
 def person_tokens(name: str | None, with_given: bool = False) -> list[str]:
-    """What an index of names is asked for: all tokens but initials and known given names (these too if asked for).
+    """What an index of names is asked for: all tokens but initials (with the full forms of given names if asked for).
 
-    A name of known given names only gives its last one; a double family name
-    is given in parts and joined.
+    Names may be given in either order, so a given name may be the family
+    name of another reading and none is left out. What a reading takes for a
+    double family name is given in parts and joined, and a long family name
+    also by the beginnings that ``_family_score`` lets stand for it.
     """
     given, family, _ = read_person(name)
     toks = [t for t in (*given, *family) if len(t) > 1]
-    own = [t for t in toks if t not in _SHORT] or toks[-1:]
-    out = set(own)
-    if len(family) > 1:
-        out.add("".join(family))
+    out = set(toks)
+    for _, own in _readings(name):
+        if len(own) > 1:
+            out.add("".join(own))
+        elif own:
+            out.update(own[0][:n] for n in range(SHORTENED, len(own[0]) - SHORTENED + 1))
     if with_given:
         out.update(f for t in toks for f in (_close_known(t) or (t,)))
     return sorted(out)

@@ -117,6 +117,13 @@ def test_neighbours_equal_brute_force(spark):
     assert got == {(a, b) for a in ts for b in ts if a == b or (min(len(a), len(b)) >= 4 and near(a, b, 1))}
 
 
+def test_neighbours_two_edits_equal_brute_force(spark):
+    r = random.Random(6)
+    ts = sorted({"".join(r.choice("ab") for _ in range(r.randint(5, 10))) for _ in range(80)} | {"lundqvist", "lumdqvost", "ulndqvits", "lundqvistas"})
+    got = {(x.t, x.u) for x in graph.neighbours(spark.createDataFrame([(t,) for t in ts], "t string")).collect()}
+    assert got == {(a, b) for a in ts for b in ts if near(a, b, 2 if min(len(a), len(b)) >= 7 else 1)} and {("lundqvist", "lumdqvost"), ("lundqvist", "ulndqvits")} <= got
+
+
 LISTING = "provider_id long, full_name string, npi string, phone string, practice_name string, specialty string, address string, city string, state string, zip string"
 
 
@@ -139,6 +146,12 @@ def test_persons(spark):
     assert persons(spark, []) == []
 
 
+@pytest.mark.parametrize(("a", "b"), [("Ada James", "A. James"), ("Robert Lundqvist", "R. Lumdqvost"), ("Ada Rosenfeldt", "A. Rosen"), ("Ada Lund Berg", "A. Lundberg")])
+def test_candidates_are_as_wide_as_the_alignment(spark, a, b):
+    assert align_persons(a, b) > linking.NEAR_CONTEXT
+    assert persons(spark, [listing(1, a, phone="407-555-0101"), listing(2, b, phone="407-555-0101", address=None, zip_=None, practice=None)]) == [("1", "2")]
+
+
 def test_generations_at_one_place(spark):
     n1, n2 = "1710588744", "1194013169"
     data = [listing(1, "Ada Lund Jr", n1), listing(2, "Ada Lund Sr", n2), listing(3, "Lund Jr, Ada"), listing(4, "Ada Lund Sr.")]
