@@ -170,9 +170,10 @@ def person_classes(rows: DataFrame) -> DataFrame:
     """(id, root): the listings of one person; listings without links are left out.
 
     Listings with one number are joined first. A listing without a number
-    joins the class it is linked to with the greatest weight; one that is
-    drawn equally to two classes joins none. What remains is joined among
-    itself.
+    joins the class it is linked to with the greatest weight, and may draw
+    others in turn, until none joins: as many rounds as the longest chain has
+    links, each written to the shared folder. One that is drawn equally to two
+    classes joins none. What remains is joined among itself.
     """
     links = cut(person_links(rows))
     core = components(links.where("npi_a = npi_b"))
@@ -180,21 +181,20 @@ def person_classes(rows: DataFrame) -> DataFrame:
     sides = cut(ends.select(F.col("a").alias("id"), F.col("npi_a").alias("own"), F.col("b").alias("other"), "weight").unionByName(ends.select(F.col("b").alias("id"), F.col("npi_b").alias("own"), F.col("a").alias("other"), "weight")))
     # Every row with a number is a class, if only of itself.
     settled = rows.where("npi is not null").select("id").join(core, "id", "left").select("id", F.coalesce("root", "id").alias("root"))
-    torn = None
-    for _ in range(2):
+    while True:
         loose = sides.where("own is null").join(settled.select("id"), "id", "left_anti")
-        drawn = loose.join(settled.select(F.col("id").alias("other"), "root"), "other").groupBy("id", "root").agg(F.max("weight").alias("w"))
-        best = drawn.groupBy("id").agg(F.max(F.struct("w", "root")).alias("m"), F.collect_set("w").alias("ws"), F.count("*").alias("n"), F.max("w").alias("top"))
+        drawn = cut(loose.join(settled.select(F.col("id").alias("other"), "root"), "other").groupBy("id", "root").agg(F.max("weight").alias("w")))
+        best = drawn.groupBy("id").agg(F.max(F.struct("w", "root")).alias("m"), F.max("w").alias("top"))
         # Of the classes' weights only the two greatest matter; an equal second is a second class of the top weight.
         second = drawn.join(best.select("id", "top", F.col("m.root").alias("first")), "id").where((F.col("root") != F.col("first")) & (F.col("w") >= F.col("top") - 1e-9)).select("id").distinct()
-        joined = best.join(second, "id", "left_anti").select("id", F.col("m.root").alias("root"))
-        torn = second if torn is None else torn.unionByName(second)
+        joined = cut(best.join(second, "id", "left_anti").select("id", F.col("m.root").alias("root")))
+        if not joined.take(1):
+            break
         settled = cut(settled.unionByName(joined))
-        torn = cut(torn)
+    # Who is left is linked to no class, or drawn equally to two.
     left = ends.where("npi_a is null and npi_b is null")
-    out_of = settled.select("id").unionByName(torn).distinct()
     for e in ("a", "b"):
-        left = left.join(out_of.select(F.col("id").alias(e)), e, "left_anti")
+        left = left.join(settled.select(F.col("id").alias(e)), e, "left_anti")
     return settled.unionByName(components(left))
 
 

@@ -160,6 +160,17 @@ def test_generations_at_one_place(spark):
     assert persons(spark, [*data[:2], listing(5, "Ada Lund")]) == []
 
 
+def test_listings_without_number_join_to_a_fixpoint(spark, monkeypatch):
+    n1, n2 = "1710588744", "1194013169"
+    npi = {1: n1, 10: n1, 11: n2}
+    # A chain of five from one with a number; 12 is drawn equally to two classes, 13 and 14 are linked to it only.
+    links = [(a, b, 2.0, npi.get(a), npi.get(b)) for a, b in [(1, 2), (2, 3), (3, 4), (4, 5), (5, 6), (10, 12), (11, 12), (12, 13), (13, 14)]]
+    monkeypatch.setattr(linking, "person_links", lambda _: spark.createDataFrame(links, "a long, b long, weight double, npi_a string, npi_b string"))
+    people = spark.createDataFrame([(i, npi.get(i)) for i in (*range(1, 7), *range(10, 15))], "id long, npi string")
+    want = [*combinations(range(1, 7), 2), *combinations((12, 13, 14), 2)]
+    assert rows(linking.pairs_of(linking.person_classes(people))) == sorted(((str(a), str(b)) for a, b in want), key=repr)
+
+
 ORG = "organization_id long, name string, organization_type string, phone string, website string, address string, city string, state string, zip string"
 
 
