@@ -124,9 +124,51 @@ def _close_known(token: str) -> frozenset[str]:
     return frozenset(f for k, fs in _SHORT.items() if near(token, k, min(edits_allowed(len(token)), edits_allowed(len(k)))) for f in fs)
 
 
+#: Columns up to which an assignment is found by sets of columns, the work being as 2 to their number.
+FEW = 12
+
+
+def hungarian(scores: list[list[float]]) -> tuple[float, list[tuple[int, int]]]:
+    """As ``best_assignment``, for any number of rows and columns: the work is as lesser² x greater of the two."""
+    if len(scores) > len(scores[0]):
+        total, pairs = hungarian([list(c) for c in zip(*scores)])
+        return total, sorted((i, j) for j, i in pairs)
+    n, m = len(scores), len(scores[0])
+    # Potentials of rows and columns, the row of each column and the column before it on a path; 0 is outside.
+    u, v, row = [0.0] * (n + 1), [0.0] * (m + 1), [0] * (m + 1)
+    for i in range(1, n + 1):
+        row[0], at = i, 0
+        least, before, done = [float("inf")] * (m + 1), [0] * (m + 1), [False] * (m + 1)
+        while row[at]:
+            done[at] = True
+            r, step, to = row[at], float("inf"), 0
+            for j in range(1, m + 1):
+                if not done[j]:
+                    cost = -max(scores[r - 1][j - 1], 0.0) - u[r] - v[j]
+                    if cost < least[j]:
+                        least[j], before[j] = cost, at
+                    if least[j] < step:
+                        step, to = least[j], j
+            for j in range(m + 1):
+                if done[j]:
+                    u[row[j]] += step
+                    v[j] -= step
+                else:
+                    least[j] -= step
+            at = to
+        while at:
+            row[at] = row[before[at]]
+            at = before[at]
+    pairs = sorted((row[j] - 1, j - 1) for j in range(1, m + 1) if row[j] and scores[row[j] - 1][j - 1] > 0)
+    return sum(scores[i][j] for i, j in pairs), pairs
+
+
 def best_assignment(scores: list[list[float]]) -> tuple[float, list[tuple[int, int]]]:
-    """The pairing of rows with columns, each at most once, of the greatest sum (rows of a name: few)."""
+    """The pairing of rows with columns, each at most once, of the greatest sum; only what scores more than 0 is paired."""
     rows, cols = len(scores), len(scores[0]) if scores else 0
+    # All sets of columns are tried where these are few.
+    if cols > FEW:
+        return hungarian(scores)
     best: dict[int, tuple[float, list[tuple[int, int]]]] = {0: (0.0, [])}
     for i in range(rows):
         after = dict(best)

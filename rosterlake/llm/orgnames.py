@@ -111,9 +111,10 @@ def _one(x: tuple, y: tuple, city: frozenset[str]) -> float:
     drop = lambda ts: tuple(t for t in ts if t not in city) or ts
     best = 0.0
     for a, b in {(ta, tb), (drop(ta), tb), (ta, drop(tb)), (drop(ta), drop(tb))}:
-        if max(len(a), len(b)) > 12:
-            a, b = a[:12], b[:12]
-        total, pairs = best_assignment([[_token(p, q) for q in b] for p in a])
+        if a == b:
+            pairs = [(i, i) for i in range(len(a))]
+        else:
+            _, pairs = best_assignment([[_token(p, q) for q in b] for p in a])
         ma, mb = {i for i, _ in pairs}, {j for _, j in pairs}
         own_a = [i for i, t in enumerate(a) if t not in _KNOWN or t in REGIONS]
         own_b = [j for j, t in enumerate(b) if t not in _KNOWN or t in REGIONS]

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from rosterlake.llm import addresses, graph, hospitals, linking
 from rosterlake.llm.addresses import near, read_address
-from rosterlake.llm.names import align_persons, best_assignment, read_person
+from rosterlake.llm.names import align_persons, best_assignment, hungarian, read_person
 from rosterlake.llm.orgnames import ACRONYM, align_orgs
 
 
@@ -38,6 +38,23 @@ def test_assignment_equals_brute_force():
         assert abs(best_assignment(s)[0] - best) < 1e-9
 
 
+def test_hungarian_equals_sets_of_columns():
+    r = random.Random(2)
+    for _ in range(200):
+        n, m = r.randint(1, 7), r.randint(1, 7)
+        s = [[r.choice([-1.0, 0.0, 0.3, 0.5, 0.85, 0.9]) for _ in range(m)] for _ in range(n)]
+        total, pairs = hungarian(s)
+        assert abs(total - best_assignment(s)[0]) < 1e-9 and len({i for i, _ in pairs}) == len({j for _, j in pairs}) == len(pairs)
+
+
+def test_long_names_of_organizations_are_aligned_whole():
+    words = "Lund Berg Ryde Amber Rowan Haw Briar Umber Odrun Thorn Gale Marsh Fenn Colby Wex".split()
+    for more, other in (("Astrid", "Bertil"), ("Children", "Women")):
+        assert align_orgs(" ".join([*words[:12], more]), " ".join([*words[:12], other])) == 0
+    assert align_orgs(" ".join(words), " ".join(words[::-1])) == 1
+    assert 0.9 < align_orgs(" ".join(words), " ".join([*words[:0:-1], "Lunt"])) < 1
+
+
 def test_read_person_takes_everything():
     for n in ("", " ", ",", "-", "Dr", "MD,", "x" * 100_000, "Jr.", "a.b.c.", "ﬁ ß"):
         read_person(n)
