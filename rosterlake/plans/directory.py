@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+from uuid import uuid4
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rosterlake.operators.history import replay
+from rosterlake.operators.history import ChainStore
 from rosterlake.operators.nested import child_tables, spool_children, typed_children
 from rosterlake.operators.snapshots import snapshot_changes
-from rosterlake.session import table
+from rosterlake.session import shared_dir, table
 
 #: The columns of a delivery that are compared where a content hash is missing.
 COMPARED = ["full_name", "credentials", "specialty", "primary_site_of_care", "practice_name", "address", "city", "state", "zip", "phone", "location_count"]
@@ -39,7 +41,11 @@ def p4_chains(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Versions of specialty and primary_site_of_care, the last delivery applied as an update."""
     rows = table(spark, sf_dir, "provider_snapshots")
     last = rows.agg(F.max("run_id")).first()[0]
-    return replay(rows, "provider_id", "updated_date", ["specialty", "primary_site_of_care"], F.col("run_id") == F.lit(last))
+    update = F.coalesce(F.col("run_id") == F.lit(last), F.lit(False))
+    store = ChainStore(f"{shared_dir(spark)}/chains-{uuid4().hex}", "provider_id", "updated_date", ["specialty", "primary_site_of_care"])
+    store.apply(rows.where(~update))
+    store.apply(rows.where(update))
+    return store.chains(spark)
 
 
 def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -5,6 +5,7 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from rosterlake.operators import history as h
+from rosterlake.plans import directory
 
 T0 = datetime(2024, 1, 1)
 SCHEMA = "k long, at timestamp, a string, b string, late boolean"
@@ -53,3 +54,20 @@ def test_nulls_ties_and_empty(spark):
     df = spark.createDataFrame([(None, T0, "a", "b", False), (1, None, "a", "b", False), (1, T0, None, None, False), (1, T0, "q", None, False), (1, T0, "p", None, True)], SCHEMA)
     assert rows(h.replay(df, "k", "at", ["a", "b"], F.col("late")), "k", "a", "b") == [("1", "q", None)]
     assert h.replay(df.limit(0), "k", "at", ["a", "b"], F.col("late")).count() == 0
+
+
+def test_p4_applies_the_last_delivery_to_stored_chains(spark, tmp_path, monkeypatch):
+    data = [(i, T0 + timedelta(days=d), s, "x", r) for i, d, s, r in [(1, 0, "A", 1), (1, 2, "B", 2), (1, 1, "C", 3), (2, 0, "A", 1), (2, 5, "B", 2), (2, 0, "a ", 3), (3, 0, "A", None)]]
+    df = spark.createDataFrame(data, "provider_id long, updated_date timestamp, specialty string, primary_site_of_care string, run_id long")
+    calls, real = [], h.rebuild_affected
+
+    def spy(chains, before, update, *rest):
+        calls.append((chains.count(), before.count(), update.count()))
+        return real(chains, before, update, *rest)
+
+    monkeypatch.setattr(h, "rebuild_affected", spy)
+    for name, rows_ in (("full", df), ("empty", df.limit(0))):
+        rows_.write.parquet(f"{tmp_path}/{name}/provider_snapshots.parquet")
+        got = rows(directory.p4_versions(spark, f"{tmp_path}/{name}"))
+        assert got == rows(h.replay(rows_, "provider_id", "updated_date", ["specialty", "primary_site_of_care"], F.col("run_id") == 3).select("provider_id", "specialty", "primary_site_of_care", directory._stamp("valid_from").alias("valid_from"), F.coalesce(directory._stamp("valid_to"), F.lit("open")).alias("valid_to")))
+    assert calls == [(5, 5, 2), (0, 0, 0)]
