@@ -36,7 +36,7 @@ from rosterlake.session import spread
 
 #: The training set: about so many documents by hash, of at most so many characters each, and of their segments
 #: without a label at most so many per fit. These bound what reaches the driver; every document is scored whole.
-TRAIN_DOCS, TRAIN_CHARS, TRAIN_CLEAN = 12_000, 8_000, 20_000
+TRAIN_DOCS, TRAIN_CHARS, TRAIN_CLEAN = 12_000, 8_000, 30_000
 #: Hashed n-grams without and with a slot, and the strength of the L2 penalty.
 BUCKETS, SLOTTED, PENALTY = 1 << 17, 1 << 14, 2e-6
 #: Tokens that a reader remembers from batch to batch.
@@ -48,7 +48,7 @@ ROUNDS, SURE, CLEAN = 3, 0.9, 0.3
 
 #: Weak labels. Lines of a response's status, and general phrases that stand in place of content.
 STATUS = (
-    r"^\W*(?:http|error|status)?[\s:/\d.]*\b(?:40[0-9]|41[0-9]|429|50[0-9])\b[\s:\-]*(?:error\b|not found|page not found|forbidden|unauthorized|bad|gateway|internal|service|too many|unavailable|p[aá]gina)",
+    r"^\W*(?:http|error|status)?[\s:/\d.]*\b(?:40[0-9]|41[0-9]|429|50[0-9])\b[\s:\-]*(?:error\b|not found|page not found|the page|forbidden|unauthorized|bad|gateway|internal|service|too many|unavailable|p[aá]gina)",
     r"\b(?:internal server error|bad gateway|gateway time-?out|service (?:temporarily )?unavailable|too many requests)\b",
     r"^\W*(?:page|p[aá]gina) (?:not found|no encontrada)",
 )
