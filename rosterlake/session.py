@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import atexit
 import os
 import tempfile
 import zipfile
 from pathlib import Path
+from uuid import uuid4
 
+from pyspark import SparkContext
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -65,11 +68,51 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` in the shared folder and cut its lineage; survives lost executors."""
+    """Materialise ``df`` in the shared folder and cut its lineage; survives lost executors.
+
+    The last stage is computed twice by a reliable checkpoint: for one that
+    runs Python ``written`` is the better way.
+    """
     shared_dir(df.sparkSession)
     return df.checkpoint(eager=True)
 
 
+def written(df: DataFrame) -> DataFrame:
+    """``df`` written as a table in the shared folder and read from there: lineage ends, lost executors cost a retry.
+
+    Unlike a checkpoint it is computed once, and only the columns asked for are
+    read again. What an application has written is removed when it ends.
+    """
+    spark = df.sparkSession
+    path = f"{scratch(spark)}/{uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def scratch(spark: SparkSession) -> str:
+    """This application's part of the shared folder, removed when it ends."""
+    folder = f"{shared_dir(spark).rstrip('/')}/rosterlake-{spark.sparkContext.applicationId}"
+    if folder not in _SCRATCH:
+        _SCRATCH.add(folder)
+        atexit.register(_remove, spark, folder)
+    return folder
+
+
+_SCRATCH: set[str] = set()
+
+
+def _remove(spark: SparkSession, folder: str) -> None:
+    """Best effort: a session that was stopped before has no way left to remove its files."""
+    context = SparkContext._active_spark_context
+    if context is None or context is not spark.sparkContext:
+        return
+    try:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    except Exception:  # noqa: BLE001 - the gateway may be gone
+        pass
+
+
 def spread(df: DataFrame) -> DataFrame:
     """``df`` over all cores if it is read in fewer parts than there are, as a single small file is; else as it is.
 
