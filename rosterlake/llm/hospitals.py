@@ -15,12 +15,12 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rosterlake.llm.addresses import deletes
+from rosterlake.llm.addresses import deletes, read_address, read_city, read_state, read_zip
 from rosterlake.llm.graph import components
-from rosterlake.llm.linking import aligned, located, site_of, ten_digits
+from rosterlake.llm.linking import aligned, site_of, ten_digits
 from rosterlake.llm.orgnames import _KNOWN, align_orgs, initials, read_org, versions
 from rosterlake.llm.survivors import told
-from rosterlake.session import cut
+from rosterlake.session import cut, spread, written
 
 #: Rules, the strongest first: keys of both sides that must be equal, and whether the names must also agree.
 _RULES = [
@@ -42,8 +42,10 @@ _RULES = [
 ]
 NAMES = [name for name, _, _ in _RULES]
 RULES = {n: (keys, check) for n, (_, keys, check) in enumerate(_RULES)}
-#: Rules of about the same strength are joined in one pass; of several that find a pair, the strongest counts.
-PASSES = [[0, 1, 2], [3, 4, 5], [6, 7], [8, 9], [10, 11], [12, 13, 14]]
+#: Each rule is a pass of its own.
+PASSES = [[n] for n in RULES]
+#: Rules that ask for the site: their labels are telephones; those of the others are sites.
+BY_SITE = [n for n, (keys, _) in RULES.items() if "site" in keys]
 #: Beta prior of a rule's precision, and the least confidence of a match.
 PRIOR, LEAST = (2.0, 1.0), 0.5
 
@@ -55,49 +57,62 @@ def records(rows: DataFrame) -> DataFrame:
     ``own``: those that name the hospital; ``short``: initials. Each is an
     array, as a row may have several names. A name that holds the town has keys with and without it.
     """
-    base = cut(located(rows, ["id", "name", "alt", "tel", "site"]))
-    schema = "id long, full array<string>, own array<string>, short array<string>"
+    schema = "id long, name string, alt string, tel string, site string, city string, state string, zip5 string, full array<string>, own array<string>, short array<string>"
+    cols = ["id", "name", "alt", "tel", "site", "address", "city", "state", "zip"]
 
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             out = []
-            for i, name, alt, city in zip(pdf["id"], pdf["name"], pdf["alt"], pdf["city"]):
-                full, own, short = set(), set(), set()
-                town = frozenset((city or "").split()) - _KNOWN
-                for n in [v for x in (name, alt) for v, _ in versions(x)]:
-                    for every, campus, acronym in read_org(n):
-                        for toks in {every, tuple(t for t in every if t not in town) or every}:
-                            full.add(" ".join(sorted(toks)) + "|" + campus)
-                            mine = "".join(sorted(t for t in toks if t not in _KNOWN))
-                            if mine:
-                                own.add(mine + "|" + campus)
-                            if len(toks) > 1:
-                                short.update({initials(toks), initials(toks, campus)})
-                        if acronym:
-                            short.add("".join(sorted(acronym)))
-                out.append((i, sorted(full), sorted(own), sorted(short)))
-            yield pd.DataFrame(out, columns=["id", "full", "own", "short"])
-
-    keys = base.select("id", "name", "alt", "city").mapInPandas(read, schema)
+            for i, name, alt, tel, site, address, city, state, code in pdf[cols].itertuples(index=False):
+                at = read_address(address, city, state, code) or {"city": read_city(city), "state": read_state(state), "zip5": read_zip(code)}
+                full, own, short = _names(name, alt, at["city"])
+                out.append((i, name, alt, tel, site, at["city"], at["state"], at["zip5"], sorted(full), sorted(own), sorted(short)))
+            yield pd.DataFrame(out, columns=[f.split()[0] for f in schema.split(", ")])
+
+    keys = spread(rows.select(*[F.col(c).cast("string") if c != "id" else F.col(c) for c in cols])).mapInPandas(read, schema)
     fuzzy = F.array_distinct(F.flatten(F.transform("own", lambda o: F.transform(deletes(F.substring_index(o, "|", 1)), lambda d: F.concat_ws("|", d, F.substring_index(o, "|", -1))))))
-    return cut(base.drop("num", "dir", "street", "suffix").join(keys.withColumn("fuzzy", fuzzy), "id"))
+    return written(keys.withColumn("fuzzy", fuzzy))
+
+
+def _names(name: str | None, alt: str | None, city: str | None) -> tuple[set[str], set[str], set[str]]:
+    """The keys full, own and short of a row's names."""
+    full, own, short = set(), set(), set()
+    town = frozenset((city or "").split()) - _KNOWN
+    for n in [v for x in (name, alt) for v, _ in versions(x)]:
+        for every, campus, acronym in read_org(n):
+            for toks in {every, tuple(t for t in every if t not in town) or every}:
+                full.add(" ".join(sorted(toks)) + "|" + campus)
+                mine = "".join(sorted(t for t in toks if t not in _KNOWN))
+                if mine:
+                    own.add(mine + "|" + campus)
+                if len(toks) > 1:
+                    short.update({initials(toks), initials(toks, campus)})
+            if acronym:
+                short.add("".join(sorted(acronym)))
+    return full, own, short
+
 
+def _key_list(n: int, keys: list[str], _checked: bool) -> Column:
+    """Rule n's keys of a record, as an array of (n, key); without any part of them it is empty."""
+    many, single = [k for k in keys if k in ("full", "own", "short", "fuzzy")], [k for k in keys if k not in ("full", "own", "short", "fuzzy")]
+    there = reduce(Column.__and__, [F.col(k).isNotNull() for k in single], F.lit(True))
 
-def _keyed(side: DataFrame, keys: list[str], n: int) -> DataFrame:
-    """(id, key, n): one row per value of rule n's combined keys; without any part of them none."""
-    many = [k for k in keys if k in ("full", "own", "short", "fuzzy")]
-    single = [k for k in keys if k not in many]
-    kept = side.where(reduce(Column.__and__, [F.col(k).isNotNull() for k in single], F.lit(True)))
-    first = F.explode(F.col(many[0])) if many else F.lit("")
-    return kept.select("id", first.alias("m"), *single).select("id", F.concat_ws("\u0001", F.lit(str(n)), "m", *single).alias("key"), F.lit(n).alias("n")).distinct()
+    def key(m: Column) -> Column:
+        return F.struct(F.lit(n).alias("n"), F.concat_ws("\u0001", F.lit(str(n)), m, *single).alias("key"))
 
+    return F.when(there, F.transform(F.col(many[0]), key) if many else F.array(key(F.lit("")))).otherwise(F.array())
 
-def _ok(a: str, b: str) -> Column:
-    """Nothing contradicts: postal code, state and telephone are equal or missing on one side."""
-    out = F.lit(True)
-    for f in ("zip5", "state", "tel"):
-        out = out & F.coalesce(F.col(f"{a}.{f}") == F.col(f"{b}.{f}"), F.lit(True))
-    return out
+
+def _keyed(side: DataFrame, resolved: DataFrame | None, step: list[int]) -> DataFrame:
+    """One row per value of the combined keys of the step's rules, with ``open``: no rule has resolved the record.
+
+    Each has what the join needs of the record, so that candidates are judged
+    where they meet.
+    """
+    listed = [_key_list(n, *RULES[n]) for n in step]
+    marked = side.withColumn("open", F.lit(True)) if resolved is None else side.join(resolved.withColumn("done", F.lit(True)), "id", "left").withColumn("open", F.col("done").isNull())
+    names = F.array_compact(F.array("name", "alt"))
+    return marked.select("id", "open", "tel", "site", "zip5", "state", "city", names.alias("names"), F.inline(F.flatten(F.array(*listed))))
 
 
 def _agree(x: list | None, y: list | None, city: str | None) -> float:
@@ -105,32 +120,34 @@ def _agree(x: list | None, y: list | None, city: str | None) -> float:
 
 
 def cascade(left: DataFrame, right: DataFrame, passes: list[list[int]] = PASSES) -> DataFrame:
-    """(l, r, rule, label): pairs by rule, weakest last, with a label where telephones tell.
+    """(l, r, rule, ok, label): the pairs that each rule finds, ``ok`` those that count as found.
 
     A pass joins unresolved records of either side with all of the other, as
-    one record may have several counterparts; a record it finds a match for is
-    resolved. The label is 1 where both telephones are equal, 0 where both
-    are there and differ, else 1 where both sites are equal (for rules that
-    don't ask for the site), else null.
+    one record may have several counterparts; a record that a pair counts for
+    is resolved. No pair counts whose postal codes, states or telephones
+    contradict. The label says whether an attribute is equal that neither the
+    rule nor this test asks for: the site of pairs that count, and for rules
+    that ask for the site the telephone, which is looked at in all of the
+    rule's pairs that have two. Without two values it is null.
     """
-    open_l, open_r, found = left.select("id"), right.select("id"), None
+    found = None
     for step in passes:
-        if found is not None:
-            good = found.where("ok")
-            open_l, open_r = left.select("id").join(good.select(F.col("l").alias("id")), "id", "left_anti"), right.select("id").join(good.select(F.col("r").alias("id")), "id", "left_anti")
-        keyed = [reduce(DataFrame.unionByName, [_keyed(side, RULES[n][0], n) for n in step]) for side in (left, right)]
-        kl, kr = keyed
-        some = [kl.join(open_l, "id", "left_semi").alias("a").join(kr.alias("b"), "key"), kl.alias("a").join(kr.join(open_r, "id", "left_semi").alias("b"), "key")]
-        pairs = reduce(DataFrame.unionByName, [x.select(F.col("a.id").alias("l"), F.col("b.id").alias("r"), F.col("a.n").alias("n")) for x in some]).groupBy("l", "r").agg(F.min("n").alias("n"))
-        both = pairs.join(left.alias("x"), F.col("l") == F.col("x.id")).join(right.alias("y"), F.col("r") == F.col("y.id"))
-        asked = F.array(*[F.lit("site" in k) for k, _ in RULES.values()])
-        label = F.when(F.col("x.tel") == F.col("y.tel"), 1).when(F.col("x.tel") != F.col("y.tel"), 0).when((F.col("x.site") == F.col("y.site")) & ~F.get(asked, F.col("n")), 1)
-        flat = both.select("l", "r", "n", F.array_compact(F.array("x.name", "x.alt")).alias("nx"), F.array_compact(F.array("y.name", "y.alt")).alias("ny"), F.coalesce("x.city", "y.city").alias("city"), label.alias("label"), _ok("x", "y").alias("ok"))
-        free = [n for n in step if not RULES[n][1]]
-        scored = aligned(flat, "nx", "ny", _agree, "s", "city")
-        # One written table per pass: the next pass's anti-joins read it.
-        names = F.array(*map(F.lit, NAMES))
-        hits = cut(scored.where((F.col("s") > 0) | F.col("n").isin(free)).select("l", "r", F.get(names, F.col("n")).alias("rule"), "label", "ok"))
+        good = None if found is None else found.where("ok")
+        a, b = (_keyed(side, None if good is None else good.select(F.col(e).alias("id")).distinct(), step).alias(m) for side, e, m in ((left, "l", "a"), (right, "r", "b")))
+        same = lambda f: F.col(f"a.{f}") == F.col(f"b.{f}")
+        fits = F.coalesce(same("zip5"), F.lit(True)) & F.coalesce(same("state"), F.lit(True))
+        opened, by_site = F.col("a.open") | F.col("b.open"), F.col("a.n").isin(BY_SITE) if BY_SITE else F.lit(False)
+        ok = opened & F.coalesce(same("tel"), F.lit(True))
+        label = F.when(by_site, same("tel")).when(ok, same("site"))
+        met = a.join(b, F.col("a.key") == F.col("b.key")).where(fits & (ok | (by_site & same("tel").isNotNull())))
+        best = F.min(F.struct(F.col("a.n").alias("n"), ok.alias("ok"), label.alias("label"), F.coalesce("a.city", "b.city").alias("city"), F.col("a.names").alias("nx"), F.col("b.names").alias("ny")))
+        pairs = met.groupBy(F.col("a.id").alias("l"), F.col("b.id").alias("r")).agg(best.alias("p")).select("l", "r", "p.*")
+        checked = [n for n in step if RULES[n][1]]
+        if checked:
+            asked = F.col("n").isin(checked)
+            pairs = aligned(pairs.withColumn("nx", F.when(asked, F.col("nx"))), "nx", "ny", _agree, "s", "city").where((F.col("s") > 0) | ~asked)
+        # One written table per pass: the next pass reads who is resolved from it.
+        hits = written(pairs.select("l", "r", F.get(F.array(*map(F.lit, NAMES)), F.col("n")).alias("rule"), "ok", F.col("label").cast("int").alias("label")))
         found = hits if found is None else found.unionByName(hits)
     return found
 
@@ -138,9 +155,8 @@ def cascade(left: DataFrame, right: DataFrame, passes: list[list[int]] = PASSES)
 def precision(found: DataFrame) -> DataFrame:
     """(rule, labelled, right, confidence): the share of right pairs among a rule's labelled ones, smoothed by PRIOR."""
     a, b = PRIOR
-    by = found.where("label is not null and rule <> 'telephone'").groupBy("rule").agg(F.count("*").alias("labelled"), F.sum("label").alias("right"))
-    every = found.select("rule").distinct().join(by, "rule", "left").fillna(0, ["labelled", "right"])
-    return every.withColumn("confidence", (F.col("right") + a) / (F.col("labelled") + a + b))
+    by = found.groupBy("rule").agg(F.count("label").alias("labelled"), F.coalesce(F.sum("label"), F.lit(0)).alias("right"))
+    return by.withColumn("confidence", (F.col("right") + a) / (F.col("labelled") + a + b))
 
 
 def matches(left: DataFrame, right: DataFrame) -> DataFrame:
@@ -150,10 +166,10 @@ def matches(left: DataFrame, right: DataFrame) -> DataFrame:
     rule found themselves have the rule 'through others' and the least
     confidence of the class.
     """
-    found = cut(cascade(left, right))
+    found = cascade(left, right)
     # A table as long as the list of rules.
-    trust = F.broadcast(precision(found).select("rule", "confidence"))
-    kept = cut(found.where("ok").join(trust, "rule").where(F.col("confidence") >= LEAST).groupBy("l", "r").agg(F.max_by("rule", "confidence").alias("rule"), F.max("confidence").alias("confidence")))
+    trust = F.broadcast(precision(found).where(F.col("confidence") >= LEAST).select("rule", "confidence"))
+    kept = cut(found.where("ok").join(trust, "rule").groupBy("l", "r").agg(F.max_by("rule", "confidence").alias("rule"), F.max("confidence").alias("confidence")))
     # Both sides' ids in one space: even and odd.
     classes = cut(components(kept.select((F.col("l") * 2).alias("a"), (F.col("r") * 2 + 1).alias("b"))))
     least = kept.join(classes.select((F.col("id") / 2).cast("bigint").alias("l"), (F.col("id") % 2).alias("odd"), "root").where("odd = 0"), "l").groupBy("root").agg(F.min("confidence").alias("least"))
