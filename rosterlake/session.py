@@ -89,6 +89,19 @@ def written(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+class Growing:
+    """A table in the shared folder to which passes append; it is always read as one scan, however many there were."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.path, self.schema = spark, f"{scratch(spark)}/{uuid4().hex}", None
+
+    def add(self, df: DataFrame) -> DataFrame:
+        """Append ``df`` and give the whole table."""
+        self.schema = self.schema or df.schema
+        df.write.mode("append").parquet(self.path)
+        return self.spark.read.schema(self.schema).parquet(self.path)
+
+
 def scratch(spark: SparkSession) -> str:
     """This application's part of the shared folder, removed when it ends."""
     folder = f"{shared_dir(spark).rstrip('/')}/rosterlake-{spark.sparkContext.applicationId}"
