@@ -20,7 +20,7 @@ from rosterlake.llm.graph import components
 from rosterlake.llm.linking import aligned, site_of, ten_digits
 from rosterlake.llm.orgnames import _KNOWN, align_orgs, initials, read_org, versions
 from rosterlake.llm.survivors import told
-from rosterlake.session import cut, spread, written
+from rosterlake.session import Growing, cut, spread, written
 
 #: Rules, the strongest first: keys of both sides that must be equal, and whether the names must also agree.
 _RULES = [
@@ -130,7 +130,7 @@ def cascade(left: DataFrame, right: DataFrame, passes: list[list[int]] = PASSES)
     that ask for the site the telephone, which is looked at in all of the
     rule's pairs that have two. Without two values it is null.
     """
-    found = None
+    found, table = None, Growing(left.sparkSession)
     for step in passes:
         good = None if found is None else found.where("ok")
         a, b = (_keyed(side, None if good is None else good.select(F.col(e).alias("id")).distinct(), step).alias(m) for side, e, m in ((left, "l", "a"), (right, "r", "b")))
@@ -146,9 +146,8 @@ def cascade(left: DataFrame, right: DataFrame, passes: list[list[int]] = PASSES)
         if checked:
             asked = F.col("n").isin(checked)
             pairs = aligned(pairs.withColumn("nx", F.when(asked, F.col("nx"))), "nx", "ny", _agree, "s", "city").where((F.col("s") > 0) | ~asked)
-        # One written table per pass: the next pass reads who is resolved from it.
-        hits = written(pairs.select("l", "r", F.get(F.array(*map(F.lit, NAMES)), F.col("n")).alias("rule"), "ok", F.col("label").cast("int").alias("label")))
-        found = hits if found is None else found.unionByName(hits)
+        # The next pass reads who is resolved from what the passes have written.
+        found = table.add(pairs.select("l", "r", F.get(F.array(*map(F.lit, NAMES)), F.col("n")).alias("rule"), "ok", F.col("label").cast("int").alias("label")))
     return found
 
 
