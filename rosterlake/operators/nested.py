@@ -16,12 +16,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from rosterlake.session import spread
+
 #: Characters that may stand before a body without making it unreadable.
 INVISIBLE = "\\u0000-\\u0020\\u00A0\\u00AD\\u200B-\\u200F\\u2028-\\u202F\\u2060-\\u2064\\uFEFF"
 
-#: JSON nodes are opened level by level; an array and an object each take one level.
-MAX_LEVELS = 24
-
 
 def _quote(path: str) -> str:
     return ".".join(f"`{p}`" for p in path.split("."))
@@ -147,46 +146,60 @@ def _unwrap_text(v: Column) -> Column:
     return F.when(is_text, F.try_parse_json(F.try_variant_get(v, "$", "string"))).otherwise(v)
 
 
-def array_names(records: DataFrame, record: str = "record") -> list[str]:
-    """Names of fields that hold an array in any record.
+def shape_of(records: DataFrame, record: str = "record") -> tuple[list[str], int]:
+    """Names of fields that hold an array in any record, and how many objects and arrays lie inside each other at most.
 
-    The list is as long as the schema, not as the data, and is made of one
-    pass with a map-side ``distinct``.
+    The list is as long as the schema, not as the data; both come from one
+    pass with map-side aggregation. Without records it is empty and 0.
     """
-    names = F.regexp_extract_all(F.to_json(record), F.lit(r'"([^"\\]+)":\['), F.lit(1))
-    rows = records.select(F.explode(F.array_distinct(names)).alias("n")).distinct().collect()
-    return sorted(r.n for r in rows)
-
-
-def json_children(records: DataFrame, keys: list[Column], record: str, lists: list[str], levels: int = MAX_LEVELS) -> DataFrame:
+    text = F.to_json(record)
+    names = F.array_distinct(F.regexp_extract_all(text, F.lit(r'"([^"\\]+)":\['), F.lit(1)))
+    brackets = F.regexp_replace(text, r'"(?:[^"\\]|\\.)*+"|[^\[\]{}]+', "")
+    step = F.aggregate(
+        F.split(brackets, ""), F.struct(F.lit(0).alias("now"), F.lit(0).alias("most")),
+        lambda at, x: F.struct((at["now"] + F.when(x.isin("{", "["), 1).when(x.isin("}", "]"), -1).otherwise(0)).alias("now"), F.greatest(at["most"], at["now"] + F.when(x.isin("{", "["), 1).otherwise(0)).alias("most")),
+    )
+    read = records.select(names.alias("names"), step["most"].alias("depth"))
+    rows = read.select(F.explode_outer("names").alias("n"), "depth").groupBy("n").agg(F.max("depth").alias("depth")).collect()
+    return sorted(r.n for r in rows if r.n is not None), max((r.depth or 0 for r in rows), default=0)
+
+
+def json_children(records: DataFrame, keys: list[Column], record: str, lists: list[str], levels: int) -> DataFrame:
     """One row (keys, child_path, child_pos) per object that is an element of an array, at any depth.
 
     ``lists`` names fields whose lone object counts as element 0. Null
-    elements and plain values give no row but keep their position. Records
-    nested deeper than ``levels`` raise an error; none is cut silently.
+    elements and plain values give no row but keep their position. ``levels``
+    is the depth of the deepest record (``shape_of``); one that is deeper
+    raises an error, none is cut silently.
     """
 
-    def node(path: Column, pos: Column, value: Column, elem: bool, wrap: Column | None = None) -> Column:
-        arr, obj = F.try_variant_get(value, "$", "array<variant>"), F.try_variant_get(value, "$", "map<string,variant>")
-        if wrap is not None:
-            lone = wrap & obj.isNotNull()
-            arr, obj = F.when(lone, F.array(value)).otherwise(arr), F.when(~lone, obj)
-        return F.struct(path.alias("path"), pos.alias("pos"), arr.alias("arr"), obj.alias("obj"), F.lit(elem).alias("elem"))
+    def opened(value: Column) -> list[Column]:
+        return [F.try_variant_get(value, "$", "array<variant>").alias("arr"), F.try_variant_get(value, "$", "map<string,variant>").alias("obj")]
+
+    def some(n: Column) -> Column:
+        return n["arr"].isNotNull() | n["obj"].isNotNull()
+
+    def below(n: Column, i: Column) -> Column:
+        return F.when(n["pos"] == "", i).otherwise(F.concat_ws(".", n["pos"], i))
 
     def children(n: Column) -> Column:
-        in_array = F.transform(n["arr"], lambda x, i: node(n["path"], F.when(n["pos"] == "", i.cast("string")).otherwise(F.concat_ws(".", n["pos"], i.cast("string"))), x, True))
-        in_object = F.transform(
-            F.map_entries(n["obj"]),
-            lambda e: node(F.when(n["path"] == "", e["key"]).otherwise(F.concat_ws(".", n["path"], e["key"])), n["pos"], e["value"], False, e["key"].isin(lists) if lists else F.lit(False)),
-        )
-        return F.when(n["arr"].isNotNull(), in_array).when(n["obj"].isNotNull(), in_object)
+        # Values are opened once; plain ones are dropped before paths and positions are made.
+        items = F.filter(F.transform(n["arr"], lambda x, i: F.struct(i.alias("i"), *opened(x))), some)
+        in_array = F.transform(items, lambda x: F.struct(n["path"].alias("path"), below(n, x["i"].cast("string")).alias("pos"), x["arr"].alias("arr"), x["obj"].alias("obj"), F.lit(True).alias("elem")))
+        fields = F.filter(F.transform(F.map_entries(n["obj"]), lambda e: F.struct(e["key"].alias("key"), *opened(e["value"]))), some)
+
+        def field(e: Column) -> Column:
+            lone = e["obj"].isNotNull() & (e["key"].isin(lists) if lists else F.lit(False))
+            path = F.when(n["path"] == "", e["key"]).otherwise(F.concat_ws(".", n["path"], e["key"]))
+            return F.struct(path.alias("path"), F.when(lone, below(n, F.lit("0"))).otherwise(n["pos"]).alias("pos"), e["arr"].alias("arr"), e["obj"].alias("obj"), lone.alias("elem"))
+
+        return F.when(n["arr"].isNotNull(), in_array).when(n["obj"].isNotNull(), F.transform(fields, field))
 
     first = F.array(F.struct(F.lit("").alias("path"), F.lit("").alias("pos"), F.lit(None).cast("array<variant>").alias("arr"), F.col(record).alias("obj"), F.lit(False).alias("elem")))
     names = [f"__k{i}" for i in range(len(keys))]
     step = records.where(F.col(record).isNotNull()).select(*[k.alias(n) for k, n in zip(keys, names)], first.alias("__open"), F.array().cast("array<struct<child_path:string,child_pos:string>>").alias("__out"))
     for _ in range(levels):
-        opened = F.filter(F.flatten(F.transform("__open", children)), lambda n: n["arr"].isNotNull() | n["obj"].isNotNull())
-        step = step.select(*names, opened.alias("__open"), "__out")
+        step = step.select(*names, F.flatten(F.transform("__open", children)).alias("__open"), "__out")
         found = F.transform(F.filter("__open", lambda n: n["elem"] & n["obj"].isNotNull()), lambda n: F.struct(n["path"].alias("child_path"), n["pos"].alias("child_pos")))
         step = step.select(*names, "__open", F.concat("__out", found).alias("__out"))
     checked = F.when(F.size("__open") > 0, F.raise_error(F.lit(f"a record is nested deeper than {levels} levels"))).otherwise(F.col("__out"))
@@ -198,10 +211,8 @@ def latest_records(spool: DataFrame) -> DataFrame:
 
     Rows without a type or id, and rows whose body can't be read, are left out.
     """
-    read = json_records(spool.where("resource_type is not null and trim(resource_id) <> ''"), "body").where("record is not null")
-    text = F.to_json("record")
-    newest = read.groupBy("resource_type", "resource_id").agg(F.max_by(text, F.struct("spooled_at", "spool_seq")).alias("body"))
-    return newest.withColumn("record", F.try_variant_get(F.try_parse_json("body"), "$", "map<string,variant>"))
+    read = json_records(spread(spool).where("resource_type is not null and trim(resource_id) <> ''"), "body").where("record is not null")
+    return read.groupBy("resource_type", "resource_id").agg(F.max_by("record", F.struct("spooled_at", "spool_seq")).alias("record"))
 
 
 def spool_children(spool: DataFrame) -> DataFrame:
@@ -211,7 +222,8 @@ def spool_children(spool: DataFrame) -> DataFrame:
     those that are not the latest of their resource. Unreadable bodies, null
     bodies and null ids give no rows; an empty spool gives an empty result.
     """
+    spool = spread(spool.select("resource_type", "resource_id", "body", "spooled_at", "spool_seq"))
     readable = json_records(spool.where("body is not null"), "body").where("record is not null")
-    lists = array_names(readable)
-    rows = json_children(latest_records(spool), [F.col("resource_type"), F.col("resource_id")], "record", lists)
+    lists, depth = shape_of(readable)
+    rows = json_children(latest_records(spool), [F.col("resource_type"), F.col("resource_id")], "record", lists, depth)
     return rows.select(F.col("__k0").alias("parent_type"), F.col("__k1").alias("parent_id"), "child_path", "child_pos")

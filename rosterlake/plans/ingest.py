@@ -13,7 +13,7 @@ from rosterlake.operators import rules
 from rosterlake.operators.lookup import dereference
 from rosterlake.operators.nested import latest_records
 from rosterlake.operators.primary import first_holding, primary_by_count
-from rosterlake.session import cut
+from rosterlake.session import cut, written
 
 # Resources
 
@@ -30,8 +30,8 @@ class Views:
 
 def resource_views(spool: DataFrame, npi_part: str = "npi") -> Views:
     """Views of a spool (resource_type, resource_id, body, spooled_at, spool_seq). A resource repeated counts once."""
-    # Four views and several joins read it: the newest states are found once and kept as text.
-    newest = cut(latest_records(spool).drop("record")).withColumn("v", F.parse_json("body")).drop("body")
+    # Four views and several joins read it: the newest states are found and parsed once, and kept as they were parsed.
+    newest = written(latest_records(spool).select("resource_type", "resource_id", F.to_variant_object("record").alias("v")))
     of = lambda t: newest.where(F.col("resource_type") == t)
     v = F.col("v")
     refs = lambda path: F.filter(F.transform(fhir.items(v, path), lambda x: fhir.reference(fhir.text(x, "$.reference"))), lambda r: r.isNotNull())

@@ -40,15 +40,20 @@ def test_latest_readable_counts_and_null_ids_do_not(spark):
     assert found(spark, [("x", old), ("x", new), ("x", new[:-2]), (None, new), ("", new)]) == [("x", "a", "0"), ("x", "a", "1")]
 
 
-def test_array_in_array_and_too_deep(spark):
+def test_array_in_array_and_any_depth(spark):
     assert found(spark, [json.dumps({"resourceType": "T", "a": [[{"b": 1}], []]})]) == [("r0", "a", "0.0")]
-    deep = {"resourceType": "T"}
+    deep = {"resourceType": "T", "q": "]}{ in \" a text [{"}
     at = deep
-    for _ in range(40):
-        at["n"] = {}
+    for n in range(16):
+        at["n"] = {} if n < 15 else [{"x": 1}]
         at = at["n"]
+    shallow = json.dumps({"resourceType": "T", "a": [{"b": 1}]})
+    path = ".".join(["n"] * 16)
+    got = found(spark, [json.dumps(deep), shallow])
+    assert ("r0", path, ".".join(["0"] * 16)) in got and ("r1", "a", "0") in got and len(got) == 17
+    records = nested.json_records(spool(spark, [shallow]), "body").where("record is not null")
     with pytest.raises(Exception, match="nested deeper"):
-        found(spark, [json.dumps(deep)])
+        nested.json_children(records, [F.col("resource_id")], "record", ["a"], 1).collect()
 
 
 def test_empty_spool(spark):
