@@ -14,9 +14,9 @@ from rosterlake.sources import bundles, files
 COMPARED = [c for c in merge.TRACKED]
 
 
-def discover(known_urls: DataFrame, landed_sitemaps: DataFrame, start: list[str], pattern: str) -> DataFrame:
+def discover(known_urls: DataFrame, landed_sitemaps: DataFrame, start: DataFrame | list[str], pattern: str, most_files: int | None = 200) -> DataFrame:
     """New addresses for the queue."""
-    found = bundles.crawl_sitemaps(landed_sitemaps, start).where(F.col("url").rlike(pattern))
+    found = bundles.crawl_sitemaps(landed_sitemaps, start, most_files).where(F.col("url").rlike(pattern))
     return merge.insert_missing(known_urls, found, ["url"])
 
 
@@ -38,6 +38,17 @@ def trial(urls: DataFrame, n: int) -> DataFrame:
     return urls.orderBy("url").limit(n)
 
 
+def sampled(judged: DataFrame, n: int, shown: int = 40) -> tuple[DataFrame, DataFrame]:
+    """The first ``n`` judged addresses, and of these the first ``shown`` that aren't providers, with their reasons."""
+    first = judged.orderBy("url").limit(n)
+    return first, first.where("reason is not null").orderBy("url").limit(shown)
+
+
+def last_finished(runs: DataFrame) -> DataFrame:
+    """The run that was finished last, or no row."""
+    return runs.where("finished_at is not null").orderBy(F.desc("finished_at"), F.desc("run_id")).limit(1)
+
+
 def investigate(labels: DataFrame, reasons: DataFrame) -> str:
     return reports.investigation(labels, reasons)
 
@@ -88,8 +99,8 @@ def refresh_osm_cache(elements: DataFrame, path: str) -> None:
     bundles.osm_elements(elements).write.mode("overwrite").json(path)
 
 
-def test_run(urls: DataFrame, n: int = 50) -> DataFrame:
-    return trial(urls, n)
+def test_run(judged: DataFrame, n: int = 50) -> tuple[DataFrame, DataFrame]:
+    return sampled(judged, n)
 
 
 #: The commands by name.

@@ -21,6 +21,14 @@ def stamp(x: str):
     return F.date_format(x, "yyyy-MM-dd HH:mm:ss")
 
 
+_LAST, _BEFORE, _FIRST = "(SELECT max(run_id)::INT FROM provider_snapshots)", "(SELECT max(run_id)::INT FROM provider_snapshots WHERE run_id < (SELECT max(run_id) FROM provider_snapshots))", "(SELECT min(run_id)::INT FROM provider_snapshots)"
+
+
+def runs(spark, d) -> list[int]:
+    """The run ids of the deliveries in order; as many as there were deliveries."""
+    return sorted(r[0] for r in table(spark, d, "provider_snapshots").select("run_id").where("run_id is not null").distinct().collect())
+
+
 _TS = "strftime({0}, '%Y-%m-%d %H:%M:%S')"
 #: Events read as a ledger of work: the kind of event is the status.
 _LEDGER = "(SELECT event_id AS id, CASE event_type WHEN 'click' THEN 'pending' WHEN 'error' THEN 'error' ELSE 'done' END AS status, CAST(floor(value) AS BIGINT) % 6 AS attempts, CASE WHEN event_type <> 'view' THEN ts END AS last_fetched FROM events) l"
@@ -105,9 +113,9 @@ def joi01_system_rollup(spark, d):
     return counts.join(systems, "system_id").groupBy("name").agg(F.sum("documents").alias("documents"))
 
 
-@C.query("SELECT s.run_id, s.provider_id, p.full_name FROM provider_snapshots s LEFT JOIN (SELECT * FROM providers WHERE is_active = 1) p USING (provider_id) WHERE s.run_id >= 118")
+@C.query("SELECT s.run_id, s.provider_id, p.full_name FROM provider_snapshots s LEFT JOIN (SELECT * FROM providers WHERE is_active = 1) p USING (provider_id)")
 def joi02_changes_with_names(spark, d):
-    rows = table(spark, d, "provider_snapshots").where("run_id >= 118").select("run_id", "provider_id")
+    rows = table(spark, d, "provider_snapshots").select("run_id", "provider_id")
     return rows.join(table(spark, d, "providers").where("is_active = 1").select("provider_id", "full_name"), "provider_id", "left")
 
 
@@ -194,11 +202,11 @@ def snapshot(spark, d, run):
 _TOP = "(SELECT provider_id, specialty, phone, full_name, practice_name FROM (SELECT *, row_number() OVER (PARTITION BY provider_id ORDER BY updated_date DESC, specialty DESC NULLS LAST, phone DESC NULLS LAST, full_name DESC NULLS LAST, practice_name DESC NULLS LAST) AS k FROM provider_snapshots WHERE run_id = {0}) WHERE k = 1)"
 
 
-@C.query(f"""WITH a AS {_TOP.format(118)}, b AS {_TOP.format(121)}, j AS (SELECT coalesce(a.provider_id, b.provider_id) AS provider_id, a.provider_id IS NULL AS na, b.provider_id IS NULL AS nb, a.specialty AS s1, b.specialty AS s2, a.phone AS p1, b.phone AS p2 FROM a FULL JOIN b USING (provider_id))
+@C.query(f"""WITH a AS {_TOP.format(_BEFORE)}, b AS {_TOP.format(_LAST)}, j AS (SELECT coalesce(a.provider_id, b.provider_id) AS provider_id, a.provider_id IS NULL AS na, b.provider_id IS NULL AS nb, a.specialty AS s1, b.specialty AS s2, a.phone AS p1, b.phone AS p2 FROM a FULL JOIN b USING (provider_id))
 SELECT provider_id, 'only_a' AS kind, NULL AS field, NULL AS in_a, NULL AS in_b FROM j WHERE nb UNION ALL SELECT provider_id, 'only_b', NULL, NULL, NULL FROM j WHERE na
 UNION ALL SELECT provider_id, 'differs', 'specialty', s1, s2 FROM j WHERE NOT na AND NOT nb AND s1 IS DISTINCT FROM s2 UNION ALL SELECT provider_id, 'differs', 'phone', p1, p2 FROM j WHERE NOT na AND NOT nb AND p1 IS DISTINCT FROM p2""")
 def joi10_diff(spark, d):
-    return compare.diff(snapshot(spark, d, 118), snapshot(spark, d, 121), "provider_id", ["specialty", "phone"])
+    return compare.diff(snapshot(spark, d, runs(spark, d)[-2]), snapshot(spark, d, runs(spark, d)[-1]), "provider_id", ["specialty", "phone"])
 
 
 @C.query(f"""WITH n AS (SELECT website AS item, {_HKEY} AS key, arg_min(name, organization_id) AS raw FROM organizations WHERE website IS NOT NULL AND {_HKEY} <> '' GROUP BY ALL)
@@ -210,9 +218,9 @@ def joi11_other_names(spark, d):
     return lookup.other_names(own, names.select("item", "key", "raw"), "item", "own").select("organization_id", "key", "raw")
 
 
-@C.query("SELECT provider_id, CASE WHEN npi IS NOT NULL AND npi IN (SELECT npi FROM provider_snapshots WHERE run_id = 101 AND npi IS NOT NULL) THEN 'known' ELSE 'new' END AS side FROM providers")
+@C.query("SELECT provider_id, CASE WHEN npi IS NOT NULL AND npi IN (SELECT npi FROM provider_snapshots WHERE run_id = " + _FIRST + " AND npi IS NOT NULL) THEN 'known' ELSE 'new' END AS side FROM providers")
 def joi12_enrich_split(spark, d):
-    fresh, known = lookup.split_known(table(spark, d, "providers").select("provider_id", "npi"), table(spark, d, "provider_snapshots").where("run_id = 101"), "npi")
+    fresh, known = lookup.split_known(table(spark, d, "providers").select("provider_id", "npi"), table(spark, d, "provider_snapshots").where(c("run_id") == runs(spark, d)[0]), "npi")
     return fresh.select("provider_id", F.lit("new").alias("side")).unionByName(known.select("provider_id", F.lit("known").alias("side")))
 
 
@@ -390,11 +398,12 @@ def srt10_page(spark, d):
     return queues.page(table(spark, d, "organizations"), ["state", "name", "organization_id"], 1, 100).select("organization_id", "state", "name")
 
 
-@C.query("""SELECT provider_id, CASE WHEN bool_or(s = 1) AND bool_or(s = 2) THEN 'both' WHEN bool_or(s = 1) THEN 'a' ELSE 'b' END AS side FROM
-(SELECT provider_id, 1 AS s FROM provider_snapshots WHERE run_id = 118 UNION ALL SELECT provider_id, 2 FROM provider_snapshots WHERE run_id = 121) GROUP BY 1""")
+@C.query(f"""SELECT provider_id, CASE WHEN bool_or(s = 1) AND bool_or(s = 2) THEN 'both' WHEN bool_or(s = 1) THEN 'a' ELSE 'b' END AS side FROM
+(SELECT provider_id, 1 AS s FROM provider_snapshots WHERE run_id = {_BEFORE} UNION ALL SELECT provider_id, 2 FROM provider_snapshots WHERE run_id = {_LAST}) GROUP BY 1""")
 def set01_key_sets(spark, d):
     rows = table(spark, d, "provider_snapshots")
-    return compare.key_sets(rows.where("run_id = 118"), rows.where("run_id = 121"), "provider_id")
+    ids = runs(spark, d)
+    return compare.key_sets(rows.where(c("run_id") == ids[-2]), rows.where(c("run_id") == ids[-1]), "provider_id")
 
 
 @C.query("""WITH a AS (SELECT system_id, list(DISTINCT source) AS l FROM documents WHERE lang = 'en' AND system_id IS NOT NULL AND source IS NOT NULL GROUP BY 1), b AS (SELECT system_id, list(DISTINCT source) AS l FROM documents WHERE lang = 'es' AND system_id IS NOT NULL AND source IS NOT NULL GROUP BY 1)

@@ -10,7 +10,7 @@ from rosterlake.plans import cascade, ingest
 from rosterlake.plans.catalog import Catalog
 from rosterlake.plans.q_functions import _shape as _shape_sql
 from rosterlake.plans.q_functions import luhn
-from rosterlake.plans.q_relational import _HKEY, _LINKS, _TOP, _TS, links, snapshot, stamp
+from rosterlake.plans.q_relational import _BEFORE, _HKEY, _LAST, _LINKS, _TOP, _TS, links, runs, snapshot, stamp
 from rosterlake.session import table
 from rosterlake.sources import bundles
 from rosterlake.streaming import events as ev
@@ -23,17 +23,19 @@ FIELDS = ["full_name", "practice_name", "specialty", "phone"]
 
 
 def _old(spark, d):
-    """The delivery of run 118 as stored state; those not in it twice as likely inactive."""
-    rows = snapshot(spark, d, 118)
-    return rows.select("*", (F.length("full_name") % 4 != 0).alias("is_active"), F.lit("2024-01-01").cast("timestamp").alias("first_seen"), F.lit("2024-12-01").cast("timestamp").alias("last_seen"), F.lit(118).alias("last_seen_run_id"))
+    """The last delivery but one as stored state."""
+    before = runs(spark, d)[-2]
+    rows = snapshot(spark, d, before)
+    return rows.select("*", (F.length("full_name") % 4 != 0).alias("is_active"), F.lit("2024-01-01").cast("timestamp").alias("first_seen"), F.lit("2024-12-01").cast("timestamp").alias("last_seen"), F.lit(before).cast("int").alias("last_seen_run_id"))
 
 
 def _upsert(spark, d):
-    return merge.upsert(_old(spark, d), snapshot(spark, d, 121), "provider_id", FIELDS, 121, NOW)
+    last = runs(spark, d)[-1]
+    return merge.upsert(_old(spark, d), snapshot(spark, d, last), "provider_id", FIELDS, last, NOW)
 
 
 _EQ = " AND ".join(f"nullif(o.{f}, '') IS NOT DISTINCT FROM nullif(n.{f}, '')" for f in FIELDS)
-_MERGE = f"""WITH o AS (SELECT *, length(full_name) % 4 <> 0 AS is_active FROM {_TOP.format(118)}), n AS {_TOP.format(121)},
+_MERGE = f"""WITH o AS (SELECT *, length(full_name) % 4 <> 0 AS is_active FROM {_TOP.format(_BEFORE)}), n AS {_TOP.format(_LAST)},
 j AS (SELECT coalesce(o.provider_id, n.provider_id) AS provider_id, {", ".join(f"o.{f} AS o_{f}, n.{f} AS n_{f}" for f in FIELDS)}, o.is_active,
  CASE WHEN n.provider_id IS NULL THEN 'UNTOUCHED' WHEN o.provider_id IS NULL THEN 'NEW' WHEN {_EQ} AND o.is_active THEN 'UNCHANGED' ELSE 'CHANGED' END AS outcome FROM o FULL JOIN n USING (provider_id))
 """
@@ -45,12 +47,12 @@ def dml01_outcome(spark, d):
 
 
 @C.query(_MERGE + "SELECT provider_id, " + ", ".join(f"CASE WHEN outcome IN ('NEW', 'CHANGED') THEN n_{f} ELSE o_{f} END AS {f}" for f in FIELDS) + f""",
- CASE WHEN outcome = 'UNTOUCHED' THEN is_active ELSE true END AS is_active, CASE WHEN outcome = 'UNTOUCHED' THEN '2024-12-01 00:00:00' ELSE '{NOW}' END AS last_seen, CASE WHEN outcome = 'UNTOUCHED' THEN 118 ELSE 121 END AS last_seen_run_id FROM j""")
+ CASE WHEN outcome = 'UNTOUCHED' THEN is_active ELSE true END AS is_active, CASE WHEN outcome = 'UNTOUCHED' THEN '2024-12-01 00:00:00' ELSE '{NOW}' END AS last_seen, CASE WHEN outcome = 'UNTOUCHED' THEN {_BEFORE} ELSE {_LAST} END AS last_seen_run_id FROM j""")
 def dml01_state(spark, d):
     return _upsert(spark, d).state.select("provider_id", *FIELDS, "is_active", stamp("last_seen").alias("last_seen"), "last_seen_run_id")
 
 
-@C.query(_MERGE + " UNION ALL ".join(f"SELECT provider_id, '{f}' AS field, o_{f} AS old_value, n_{f} AS new_value, 121 AS run_id FROM j WHERE outcome = 'CHANGED' AND nullif(o_{f}, '') IS DISTINCT FROM nullif(n_{f}, '')" for f in FIELDS))
+@C.query(_MERGE + " UNION ALL ".join(f"SELECT provider_id, '{f}' AS field, o_{f} AS old_value, n_{f} AS new_value, {_LAST} AS run_id FROM j WHERE outcome = 'CHANGED' AND nullif(o_{f}, '') IS DISTINCT FROM nullif(n_{f}, '')" for f in FIELDS))
 def dml02_field_changes(spark, d):
     return _upsert(spark, d).changes
 
@@ -127,18 +129,18 @@ def dml09_enqueue(spark, d):
     return merge.insert_missing(docs.where("url is not null and lang = 'es'").select("url").distinct(), docs.select("url"), ["url"])
 
 
-@C.query("SELECT provider_id, is_active = 1 AND provider_id IN (SELECT provider_id FROM provider_snapshots WHERE run_id = 121) AS is_active FROM providers")
+@C.query("SELECT provider_id, is_active = 1 AND provider_id IN (SELECT provider_id FROM provider_snapshots WHERE run_id = " + _LAST + ") AS is_active FROM providers")
 def dml12_deactivate(spark, d):
     state = table(spark, d, "providers").select("provider_id", (c("is_active") == 1).alias("is_active"))
-    return merge.deactivate_missing(state, "provider_id", table(spark, d, "provider_snapshots").where("run_id = 121"), complete=True)
+    return merge.deactivate_missing(state, "provider_id", table(spark, d, "provider_snapshots").where(c("run_id") == runs(spark, d)[-1]), complete=True)
 
 
-@C.query(f"""WITH o AS (SELECT provider_id, specialty FROM {_TOP.format(118)}), n AS (SELECT provider_id, specialty FROM {_TOP.format(121)})
+@C.query(f"""WITH o AS (SELECT provider_id, specialty FROM {_TOP.format(_BEFORE)}), n AS (SELECT provider_id, specialty FROM {_TOP.format(_LAST)})
 SELECT coalesce(o.provider_id, n.provider_id) AS provider_id, CASE WHEN n.provider_id IS NOT NULL THEN n.specialty ELSE o.specialty END AS specialty, CASE WHEN o.provider_id IS NOT NULL THEN '2024-01-01 00:00:00' ELSE '{NOW}' END AS date_found FROM o FULL JOIN n USING (provider_id)""")
 def dml13_keep_first_date(spark, d):
     then = F.lit("2024-01-01").cast("timestamp")
-    old = snapshot(spark, d, 118).select("provider_id", "specialty", then.alias("date_found"), then.alias("last_seen"))
-    return merge.keep_first_date(old, snapshot(spark, d, 121).select("provider_id", "specialty"), "provider_id", NOW).select("provider_id", "specialty", stamp("date_found").alias("date_found"))
+    old = snapshot(spark, d, runs(spark, d)[-2]).select("provider_id", "specialty", then.alias("date_found"), then.alias("last_seen"))
+    return merge.keep_first_date(old, snapshot(spark, d, runs(spark, d)[-1]).select("provider_id", "specialty"), "provider_id", NOW).select("provider_id", "specialty", stamp("date_found").alias("date_found"))
 
 
 @C.query(f"SELECT DISTINCT website AS item, {_HKEY} AS key FROM organizations WHERE website IS NOT NULL AND {_HKEY} <> '' AND (website, {_HKEY}) NOT IN (SELECT website, {_HKEY} FROM organizations WHERE website IS NOT NULL AND {_HKEY} <> '' AND source = 'CMS')")
@@ -147,11 +149,11 @@ def dml15_add_alias(spark, d):
     return merge.insert_missing(rows.where("source = 'CMS'").select("item", "key"), rows.select("item", "key"), ["item", "key"])
 
 
-@C.query(f"""WITH o AS (SELECT provider_id, coalesce(specialty, '') AS v FROM {_TOP.format(118)}), n AS (SELECT provider_id, specialty AS v FROM {_TOP.format(121)} WHERE specialty IS NOT NULL)
+@C.query(f"""WITH o AS (SELECT provider_id, coalesce(specialty, '') AS v FROM {_TOP.format(_BEFORE)}), n AS (SELECT provider_id, specialty AS v FROM {_TOP.format(_LAST)} WHERE specialty IS NOT NULL)
 SELECT o.provider_id, o.v, CASE WHEN n.v IS DISTINCT FROM o.v AND n.v IS NOT NULL THEN '{NOW}' ELSE 'open' END AS valid_to FROM o LEFT JOIN n USING (provider_id) UNION ALL SELECT n.provider_id, n.v, 'open' FROM n LEFT JOIN o USING (provider_id) WHERE n.v IS DISTINCT FROM o.v""")
 def dml16_switch_members(spark, d):
-    current = snapshot(spark, d, 118).select("provider_id", F.coalesce("specialty", F.lit("")).alias("v"), F.lit("2024-01-01").cast("timestamp").alias("valid_from"), F.lit(None).cast("timestamp").alias("valid_to"))
-    changes = snapshot(spark, d, 121).where("specialty is not null").select("provider_id", c("specialty").alias("v"))
+    current = snapshot(spark, d, runs(spark, d)[-2]).select("provider_id", F.coalesce("specialty", F.lit("")).alias("v"), F.lit("2024-01-01").cast("timestamp").alias("valid_from"), F.lit(None).cast("timestamp").alias("valid_to"))
+    changes = snapshot(spark, d, runs(spark, d)[-1]).where("specialty is not null").select("provider_id", c("specialty").alias("v"))
     return merge.switch_members(current, changes, "provider_id", "v", NOW).select("provider_id", "v", F.coalesce(stamp("valid_to"), F.lit("open")).alias("valid_to"))
 
 
@@ -260,10 +262,8 @@ def stm10_window_counts(spark, d):
 @C.query(f"SELECT event_type, {_TS.format('time_bucket(INTERVAL 1 DAY, ts)')} AS start, count(*) AS n FROM events GROUP BY ALL")
 def stm10_streamed_counts(spark, d):
     """The same as a stream read to its end; complete mode, so that no window is held back."""
-    import uuid
-
     stream = ev.window_counts(ev.read(spark, d), "1 day", "1 hour", "event_type").select("event_type", stamp("start").alias("start"), "n")
-    return ev.run_to_end(stream, f"counts_{uuid.uuid4().hex}", "complete")
+    return ev.run_to_end(stream, "complete")
 
 
 @C.query("SELECT user_id, count(*)::BIGINT AS sessions FROM (SELECT user_id, ts - lag(ts) OVER (PARTITION BY user_id ORDER BY ts) AS gap FROM events) WHERE gap IS NULL OR gap >= INTERVAL 1 HOUR GROUP BY 1")

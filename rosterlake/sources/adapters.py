@@ -91,7 +91,7 @@ class Discovery:
 
 
 def by_sitemap(landed: dict[str, DataFrame]) -> DataFrame | None:
-    return bundles.crawl_sitemaps(landed["sitemaps"], [r.url for r in landed["starts"].select("url").limit(1000).collect()]) if {"sitemaps", "starts"} <= landed.keys() else None
+    return bundles.crawl_sitemaps(landed["sitemaps"], landed["starts"]) if {"sitemaps", "starts"} <= landed.keys() else None
 
 
 def by_collection(landed: dict[str, DataFrame]) -> DataFrame | None:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from rosterlake.functions.documents import body_kind, is_sitemap_index, matches_in_order, sitemap_locs
 from rosterlake.functions.text import absolute_url, org_key, state_code, with_scheme, without_placeholder
+from rosterlake.session import cut
 
 
 def bundle_resources(bundles: DataFrame, body: str = "body") -> DataFrame:
@@ -89,25 +90,42 @@ def osm_elements(rows: DataFrame, tags: str = "tags") -> DataFrame:
     return rows.where(hospital & site.isNotNull()).select(t("name").alias("name"), t("alt_name").alias("alt_name"), t("official_name").alias("official_name"), site.alias("website"), F.coalesce(t("addr:state"), F.lit(None)).alias("state"))
 
 
-def crawl_sitemaps(landed: DataFrame, start: list[str], most_files: int = 200, depth: int = 10) -> DataFrame:
+def crawl_sitemaps(landed: DataFrame, start: DataFrame | list[str], most_files: int | None = None) -> DataFrame:
     """(url): the pages that sitemaps reachable from ``start`` list, through indexes, each file once.
 
-    ``landed`` has (url, body). A frontier of addresses not seen before is
-    followed per level, so cycles end; at most ``most_files`` files are read.
+    ``landed`` has (url, body); ``start`` is a table with (url) or a short
+    list. A frontier of files not read before is followed level by level until
+    it is empty, so cycles end. With ``most_files``, a courtesy to the sites,
+    at most so many files are read in all, the first of a level by address;
+    only files that were read count as seen.
     """
-    spark = landed.sparkSession
-    frontier, seen, pages = spark.createDataFrame([(u,) for u in start], "url string"), None, None
-    for _ in range(depth):
+    spark, left = landed.sparkSession, most_files
+    frontier = spark.createDataFrame([(u,) for u in start], "url string") if isinstance(start, list) else start.select("url")
+    seen, pages = None, landed.select("url").limit(0)
+    while left is None or left > 0:
         frontier = frontier.distinct() if seen is None else frontier.distinct().join(seen, "url", "left_anti")
-        files = frontier.join(landed, "url").limit(most_files)
-        if not files.take(1):
+        files = frontier.join(landed.select("url", "body"), "url")
+        files = cut(files if left is None else files.orderBy("url").limit(left))
+        n = files.count()
+        if not n:
             break
-        seen = frontier if seen is None else seen.unionByName(frontier)
+        left = None if left is None else left - n
+        read = files.select("url").distinct()
+        seen = read if seen is None else seen.unionByName(read)
         listed = files.select(is_sitemap_index(F.col("body")).alias("index"), F.explode(sitemap_locs(F.col("body"))).alias("url"))
-        found = listed.where("not index").select("url")
-        pages = found if pages is None else pages.unionByName(found)
+        pages = pages.unionByName(listed.where("not index").select("url"))
         frontier = listed.where("index").select("url")
-    return landed.select("url").limit(0) if pages is None else pages.distinct()
+    return pages.distinct()
+
+
+def until_idle(pages: DataFrame, listing: str, page: str, links: str, stop_after: int = 2) -> DataFrame:
+    """The pages of each listing before its first run of ``stop_after`` idle ones: pages whose links are none or those of the page before."""
+    w = Window.partitionBy(listing).orderBy(page)
+    idle = (F.size(links) == 0) | F.coalesce(F.col(links) == F.lag(links).over(w), F.lit(False))
+    run = pages.withColumn("__idle", idle).withColumn("__island", F.sum((~F.col("__idle")).cast("int")).over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    ended = run.withColumn("__still", F.sum(F.col("__idle").cast("int")).over(Window.partitionBy(listing, "__island").orderBy(page)))
+    cutoff = ended.where(F.col("__idle") & (F.col("__still") >= stop_after)).groupBy(listing).agg(F.min(page).alias("__stop"))
+    return ended.join(cutoff, listing, "left").where(F.col("__stop").isNull() | (F.col(page) < F.col("__stop"))).select(*pages.columns)
 
 
 def listing_links(pages: DataFrame, pattern: str, base: str, stop_after: int = 2) -> DataFrame:
@@ -115,13 +133,7 @@ def listing_links(pages: DataFrame, pattern: str, base: str, stop_after: int = 2
 
     ``pages`` has (listing, page, html). A page repeats if all its links are those of the page before.
     """
-    w = Window.partitionBy("listing").orderBy("page")
-    found = pages.withColumn("links", matches_in_order(F.col("html"), pattern, 0))
-    idle = (F.size("links") == 0) | F.coalesce(F.col("links") == F.lag("links").over(w), F.lit(False))
-    run = found.withColumn("idle", idle).withColumn("island", F.sum((~F.col("idle")).cast("int")).over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    ended = run.withColumn("still", F.sum(F.col("idle").cast("int")).over(Window.partitionBy("listing", "island").orderBy("page")))
-    cutoff = ended.where(F.col("idle") & (F.col("still") >= stop_after)).groupBy("listing").agg(F.min("page").alias("stop"))
-    kept = ended.join(cutoff, "listing", "left").where("stop is null or page < stop")
+    kept = until_idle(pages.withColumn("links", matches_in_order(F.col("html"), pattern, 0)), "listing", "page", "links", stop_after)
     return kept.select(F.explode("links").alias("link")).select(absolute_url(F.col("link"), F.lit(base)).alias("url")).distinct()
 
 
@@ -141,6 +153,78 @@ def jsonapi_rows(answers: DataFrame, collection: str, body: str = "body") -> Dat
     return kept.select("page", F.try_variant_get("d", "$.id", "string").alias("id"), F.try_variant_get("d", "$.attributes.path.alias", "string").alias("path"), "next_url")
 
 
+def landed_answers(requests: DataFrame, landed: DataFrame) -> DataFrame:
+    """(n, url, status, body): an answer per request (n, url), in their order: ok, silent_empty, failed, or missing.
+
+    ``landed`` has (url, status, body). A failure is a value of its request,
+    never an exception; an answer whose total is 0 may be one that isn't
+    reported. Of several answers to one address a good one counts.
+    """
+    good = F.col("status") == 200
+    one = landed.groupBy("url").agg(F.max(F.struct(good.alias("good"), "body")).alias("a"))
+    empty = F.try_variant_get(F.try_parse_json("a.body"), "$.total", "bigint") == 0
+    status = F.when(F.col("a").isNull(), "missing").when(~F.coalesce("a.good", F.lit(False)), "failed").when(empty, "silent_empty").otherwise("ok")
+    return requests.join(one, "url", "left").select("n", "url", status.alias("status"), F.when(F.col("a.good"), F.col("a.body")).alias("body")).orderBy("n")
+
+
+def split_includes(bundles: DataFrame, matched_type: str, body: str = "body") -> DataFrame:
+    """(page, resource_type, resource_id, mode): the entries of bundles as 'match' or 'include', each include once.
+
+    The mode is the entry's own, else a resource of ``matched_type`` is a match. An included resource comes again on
+    many pages; the first page that has it keeps it.
+    """
+    v = F.try_parse_json(body)
+    each = bundles.select("page", F.explode(F.coalesce(F.try_variant_get(v, "$.entry", "array<variant>"), F.array().cast("array<variant>"))).alias("e"))
+    said = lambda path: F.try_variant_get("e", path, "string")
+    read = each.select("page", said("$.resource.resourceType").alias("resource_type"), said("$.resource.id").alias("resource_id"), said("$.search.mode").alias("mode")).where("resource_type is not null and resource_id is not null")
+    read = read.withColumn("mode", F.coalesce("mode", F.when(F.col("resource_type") == matched_type, "match").otherwise("include")))
+    included = read.where("mode <> 'match'").groupBy("resource_type", "resource_id").agg(F.min("page").alias("page")).select("page", "resource_type", "resource_id", F.lit("include").alias("mode"))
+    return read.where("mode = 'match'").unionByName(included)
+
+
+def settled(attempts: DataFrame, key: str, order: str, most: int, base: float, cap: float) -> DataFrame:
+    """(key, status, tries, waited): how each request ended if it is tried until it is ok, ``most`` times at most.
+
+    ``attempts`` has the status of each landed attempt. Between two attempts
+    min(base * 2^n, cap) seconds are waited.
+    """
+    ranked = attempts.withColumn("__k", F.row_number().over(Window.partitionBy(key).orderBy(order))).where(F.col("__k") <= most)
+    ended = ranked.groupBy(key).agg(F.min(F.when(F.col("status") == "ok", F.col("__k"))).alias("first"), F.count("*").alias("n"), F.max_by("status", "__k").alias("last"))
+    tries = F.coalesce("first", "n").cast("int")
+    waits = F.aggregate(F.sequence(F.lit(0), F.lit(most)), F.lit(0.0), lambda t, i: t + F.when(i < tries - 1, F.least(F.lit(base) * F.pow(F.lit(2.0), i), F.lit(cap))).otherwise(0.0))
+    return ended.select(key, F.when(F.col("first").isNotNull(), "ok").otherwise(F.col("last")).alias("status"), tries.alias("tries"), F.round(waits, 4).alias("waited"))
+
+
+def permitted(urls: DataFrame, robots: DataFrame) -> DataFrame:
+    """``urls`` with ``allowed`` and ``delay``: what the robots file of the host says to everyone; without one all is allowed.
+
+    ``robots`` has (host, body).
+    """
+    group = F.regexp_extract("body", r"(?ims)^user-agent:\s*\*\s*$(.*?)(?=^user-agent:|\z)", 1)
+    rules = robots.groupBy("host").agg(F.max("body").alias("body")).select(
+        "host", F.regexp_extract_all(group, F.lit(r"(?im)^disallow:[ \t]*(\S+)"), F.lit(1)).alias("__no"), F.nullif(F.regexp_extract(group, r"(?im)^crawl-delay:[ \t]*([0-9.]+)", 1), F.lit("")).cast("double").alias("delay")
+    )
+    read = urls.withColumn("host", F.lower(F.try_parse_url("url", F.lit("HOST")))).withColumn("__path", F.coalesce(F.try_parse_url("url", F.lit("PATH")), F.lit("/")))
+    j = read.join(rules, "host", "left")
+    return j.withColumn("allowed", ~F.coalesce(F.exists("__no", lambda p: F.startswith("__path", p)), F.lit(False))).drop("__no", "__path")
+
+
+def overpass_elements(answers: DataFrame, body: str = "body") -> DataFrame:
+    """(tags): the elements of landed map queries, for ``osm_elements``."""
+    every = F.coalesce(F.try_variant_get(F.try_parse_json(body), "$.elements", "array<variant>"), F.array().cast("array<variant>"))
+    return answers.select(F.explode(every).alias("e")).select(F.try_variant_get("e", "$.tags", "map<string,string>").alias("tags"))
+
+
+def taxonomy_rows(answers: DataFrame, body: str = "body") -> DataFrame:
+    """(number, taxonomy_code, taxonomy_desc) of landed registry answers: the primary taxonomy, even without a description, else the first."""
+    v = F.try_parse_json(body)
+    each = answers.select(F.explode(F.coalesce(F.try_variant_get(v, "$.results", "array<variant>"), F.array().cast("array<variant>"))).alias("r"))
+    kind = "array<struct<code string, `desc` string, `primary` boolean>>"
+    read = each.select(F.try_variant_get("r", "$.number", "string").alias("number"), F.coalesce(F.try_variant_get("r", "$.taxonomies", kind), F.array().cast(kind)).alias("t"))
+    chosen = F.coalesce(F.get(F.filter("t", lambda t: F.coalesce(t["primary"], F.lit(False))), F.lit(0)), F.get("t", F.lit(0)))
+    return read.select("number", chosen["code"].alias("taxonomy_code"), chosen["desc"].alias("taxonomy_desc"))
+
+
 def probe_kinds(answers: DataFrame) -> DataFrame:
     """(url, status, kind) of probed addresses: what kind of body each gave."""
     return answers.select("url", "status", F.when(F.col("status") == 200, body_kind(F.col("body"))).alias("kind"))

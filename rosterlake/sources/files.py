@@ -16,6 +16,18 @@ def exists(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
 
 
+def children(spark: SparkSession, path: str) -> list[str]:
+    """Names of what is in a folder; none if it isn't there."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
+    return sorted(s.getPath().getName() for s in fs.listStatus(p)) if fs.exists(p) else []
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def read_csv(spark: SparkSession, path: str, columns: list[str] | None = None) -> DataFrame:
     """A file with a header, every column as text (leading zeros stay). FileNotFoundError without the file.
 
@@ -84,14 +96,22 @@ class VersionedTable:
         self.spark, self.path = spark, path.rstrip("/")
 
     def version(self) -> int | None:
-        jvm = self.spark._jvm
-        root = jvm.org.apache.hadoop.fs.Path(self.path)
-        fs = root.getFileSystem(self.spark._jsc.hadoopConfiguration())
-        if not fs.exists(root):
-            return None
-        done = [int(s.getPath().getName()[1:]) for s in fs.listStatus(root) if s.getPath().getName().startswith("v") and fs.exists(jvm.org.apache.hadoop.fs.Path(s.getPath(), "_SUCCESS"))]
+        done = [int(n[1:]) for n in children(self.spark, self.path) if n.startswith("v") and n[1:].isdigit() and exists(self.spark, f"{self.path}/{n}/_SUCCESS")]
         return max(done, default=None)
 
+    def keep(self, versions: int) -> None:
+        """Remove all but the last so many versions."""
+        now = self.version()
+        for n in children(self.spark, self.path):
+            if now is not None and n.startswith("v") and n[1:].isdigit() and int(n[1:]) <= now - versions:
+                remove(self.spark, f"{self.path}/{n}")
+
+    def upsert(self, rows: DataFrame, keys: list[str]) -> int:
+        """The next version: ``rows`` (one per key) in place of those with the same key."""
+        if self.version() is None:
+            return self.write(rows)
+        return self.write(self.read().join(rows.select(*keys), keys, "left_anti").unionByName(rows, allowMissingColumns=True))
+
     def read(self) -> DataFrame:
         return self.spark.read.option("mergeSchema", True).parquet(f"{self.path}/v{self.version()}")
 

@@ -6,12 +6,15 @@ Event times without a zone are read as UTC, since watermarks need a zone.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from uuid import uuid4
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
+from rosterlake.session import scratch
 from rosterlake.sources.files import exists
 
 
@@ -53,12 +56,22 @@ def failure_alarm(events: DataFrame, key: str, kind: str, bad: str, least: int)
     return events.groupBy(key).applyInPandasWithState(step, "key long, failures long, ts timestamp", "run long", "append", GroupStateTimeout.NoTimeout)
 
 
-def run_to_end(stream: DataFrame, name: str, mode: str = "append", checkpoint: str | None = None) -> DataFrame:
-    """Process what is there and give the result as a table."""
-    writer = stream.writeStream.format("memory").queryName(name).outputMode(mode).trigger(availableNow=True)
-    query = (writer.option("checkpointLocation", checkpoint) if checkpoint else writer).start()
+def run_to_end(stream: DataFrame, mode: str = "append") -> DataFrame:
+    """Process what is there and give the result as a table in the shared folder; nothing is gathered on the driver.
+
+    In complete mode each batch replaces the table, else its rows are added under the batch's number, so that a batch
+    repeated after a failure counts once.
+    """
+    spark = stream.sparkSession
+    path = f"{scratch(spark)}/stream-{uuid4().hex}"
+
+    def save(batch: DataFrame, number: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{path}/table/b={0 if mode == 'complete' else number}")
+
+    query = stream.writeStream.foreachBatch(save).outputMode(mode).trigger(availableNow=True).option("checkpointLocation", f"{path}/checkpoint").start()
     query.awaitTermination()
-    return stream.sparkSession.table(name)
+    schema = T.StructType([*stream.schema.fields, T.StructField("b", T.LongType())])
+    return spark.read.schema(schema).parquet(f"{path}/table").drop("b") if exists(spark, f"{path}/table") else spark.createDataFrame([], stream.schema)
 
 
 def upsert_batches(stream: DataFrame, path: str, checkpoint: str, merge: Callable[[DataFrame | None, DataFrame], DataFrame]) -> None:
@@ -72,7 +85,9 @@ def upsert_batches(stream: DataFrame, path: str, checkpoint: str, merge: Callabl
     def apply(batch: DataFrame, number: int) -> None:
         if exists(spark, f"{path}/v{number}/_SUCCESS"):
             return
-        before = spark.read.parquet(f"{path}/v{number - 1}") if number and exists(spark, f"{path}/v{number - 1}/_SUCCESS") else None
+        if number and not exists(spark, f"{path}/v{number - 1}/_SUCCESS"):
+            raise RuntimeError(f"the state before batch {number} isn't at {path}")
+        before = spark.read.parquet(f"{path}/v{number - 1}") if number else None
         merge(before, batch).write.mode("overwrite").parquet(f"{path}/v{number}")
 
     stream.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()

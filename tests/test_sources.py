@@ -1,4 +1,5 @@
 import json
+import shutil
 
 import pytest
 from conftest import rows
@@ -6,6 +7,7 @@ from pyspark.sql import functions as F
 
 from rosterlake.operators.lookup import unambiguous
 from rosterlake.sources import bundles, files, seeds
+from rosterlake.sources.files import exists
 from rosterlake.sources.paged import PagedSource, fetch_with_retry
 from rosterlake.streaming import events as ev
 from rosterlake.streaming.ledger import SCHEMA, Ledger, remaining
@@ -69,6 +71,7 @@ def test_sitemaps_with_a_cycle(spark):
     landed = spark.createDataFrame([("s0", f"<sitemapindex>{loc('s1', 's0', 's2')}"), ("s1", f"<urlset>{loc('p1', 'p2')}"), ("s2", f"<sitemapindex>{loc('s0', 's1')}")], "url string, body string")
     assert rows(bundles.crawl_sitemaps(landed, ["s0"])) == [("p1",), ("p2",)]
     assert bundles.crawl_sitemaps(landed, ["none"]).count() == 0
+    assert rows(bundles.crawl_sitemaps(landed, landed.where("url = 's0'"), most_files=2)) == [("p1",), ("p2",)] and bundles.crawl_sitemaps(landed, ["s0"], most_files=1).count() == 0
 
 
 def test_listings_and_answers(spark):
@@ -95,13 +98,22 @@ def test_ledger(spark, tmp_path):
     mark = lambda *ks, status="done", at="2024-01-01 00:00:00": spark.createDataFrame([("r", "p", k, status, "{}", None, at) for k in ks], SCHEMA.replace("timestamp", "string"))
     work = spark.createDataFrame([("a",), ("b",), ("c",)], "key string")
     assert not led.start_or_resume("r", "2024-01-01 00:00:00")
-    led.spool(work.where("key = 'a'"), "data", mark("a"))
-    led.mark(mark("b", status="error", at="2024-01-02 00:00:00"))
-    led.mark(mark("a", status="error", at="2024-01-03 00:00:00"))
+    led.spool(work.where("key = 'a'"), "data", mark("a"), "r")
+    led.mark(mark("b", status="error", at="2024-01-02 00:00:00"), "r")
+    led.mark(mark("a", status="error", at="2024-01-03 00:00:00"), "r")
     assert rows(remaining(work, led.log(), "r", "p")) == [("b",), ("c",)]
     assert led.start_or_resume("r", "2024-01-04 00:00:00")
     led.complete("r", "2024-01-05 00:00:00")
     assert not led.start_or_resume("r", "2024-01-06 00:00:00") and remaining(work, led.log(), "r", "p").count() == 3
+    # A run that begins anew has neither marks nor spool; another run's stay.
+    assert not exists(spark, led.spooled("r", "data"))
+    with led.grouped("s/2", every=2) as marks:
+        for k in "abc":
+            marks.add("p", k, "done", "2024-01-01 00:00:00")
+    assert marks.commits == 2 and remaining(work, led.log(), "s/2", "p").count() == 0
+    led.mark(mark("a"), "r")
+    led.clear("r", "p")
+    assert remaining(work, led.log(), "r", "p").count() == 3 and remaining(work, led.log("s/2"), "s/2", "p").count() == 0
 
 
 def test_streams(spark, tmp_path):
@@ -109,10 +121,10 @@ def test_streams(spark, tmp_path):
     e = spark.createDataFrame([(i, f"2024-01-01 00:{i:02d}:00", i % 2, "error" if i < 6 else "ok", 1.0) for i in range(10)], "event_id long, ts string, user_id long, event_type string, value double").withColumn("ts", F.col("ts").cast("timestamp_ntz"))
     e.write.parquet(src)
     read = lambda: ev.read(spark, src, "*.parquet", e.schema)
-    stream = ev.run_to_end(ev.window_counts(read(), "5 minutes", "1 minute", "event_type"), "t_windows", "complete")
+    stream = ev.run_to_end(ev.window_counts(read(), "5 minutes", "1 minute", "event_type"), "complete")
     assert rows(stream) == rows(ev.window_counts(e.withColumn("ts", F.col("ts").cast("timestamp")), "5 minutes", "1 minute", "event_type"))
-    assert ev.run_to_end(ev.without_repeats(read(), ["user_id"], "1 hour"), "t_once").count() == 2
-    assert sorted(r.key for r in ev.run_to_end(ev.failure_alarm(read(), "user_id", "event_type", "error", 3), "t_alarm").collect()) == [0, 1]
+    assert ev.run_to_end(ev.without_repeats(read(), ["user_id"], "1 hour")).count() == 2
+    assert sorted(r.key for r in ev.run_to_end(ev.failure_alarm(read(), "user_id", "event_type", "error", 3)).collect()) == [0, 1]
 
     def merge(before, batch):
         counts = batch.groupBy("user_id").agg(F.count("*").alias("n"))
@@ -121,6 +133,10 @@ def test_streams(spark, tmp_path):
     for _ in range(2):
         ev.upsert_batches(read(), f"{tmp_path}/state", f"{tmp_path}/cp", merge)
     assert rows(spark.read.parquet(f"{tmp_path}/state/v0")) == [("0", "5"), ("1", "5")]
+    e.write.mode("append").parquet(src)
+    shutil.rmtree(f"{tmp_path}/state/v0")
+    with pytest.raises(Exception, match="the state before batch 1"):
+        ev.upsert_batches(read(), f"{tmp_path}/state", f"{tmp_path}/cp", merge)
 
 
 def test_adapters_and_discovery(spark, tmp_path):
