@@ -192,3 +192,13 @@ def orphans(child: DataFrame, key: str, parent: DataFrame, parent_key: str) -> D
 def latest_values(log: DataFrame, key: str, value: str, at: str) -> DataFrame:
     """(key, value) of a key/value log, the last writing of each key."""
     return log.groupBy(key).agg(F.max_by(value, F.struct(at, value)).alias(value))
+
+
+def appended(trail: DataFrame, rows: DataFrame, as_of: str) -> DataFrame:
+    """An append-only trail with more rows, stamped ``as_of``; nothing that is there is changed or compared."""
+    return trail.unionByName(rows.withColumn("added_at", F.lit(as_of).cast("timestamp")))
+
+
+def pending(merged: Merged) -> DataFrame:
+    """(outcome, n): what a merge would write if it weren't a dry run."""
+    return merged.outcome.where("outcome in ('NEW', 'CHANGED')").groupBy("outcome").agg(F.count("*").alias("n"))

@@ -103,6 +103,19 @@ def requeue(ledger: DataFrame, ids: DataFrame) -> DataFrame:
 RUN_COUNTERS = ("new", "changed", "unchanged", "excluded", "errors", "deactivated")
 
 
+def start_run(runs: DataFrame, run_id: int, kind: str, as_of: str) -> DataFrame:
+    """Runs with one more, begun at ``as_of``; counters begin at 0. An id that is there already isn't added again."""
+    spark = runs.sparkSession
+    row = spark.range(1).select(F.lit(run_id).alias("run_id"), F.lit(kind).alias("kind"), F.lit(as_of).cast("timestamp").alias("started_at"), *[F.lit(0).alias(c) for c in RUN_COUNTERS if c in runs.columns])
+    fresh = row.join(runs.select("run_id"), "run_id", "left_anti")
+    return runs.unionByName(fresh.select([F.col(c).cast(runs.schema[c].dataType) for c in fresh.columns if c in runs.columns]), allowMissingColumns=True)
+
+
+def set_source(runs: DataFrame, run_id: int, source: str) -> DataFrame:
+    """Runs with the source that one of them found its work by."""
+    return runs.withColumn("source", F.when(F.col("run_id") == run_id, F.lit(source)).otherwise(F.col("source")))
+
+
 def finish_run(runs: DataFrame, run_id: int, as_of: str, counters: dict[str, int], notes: str | None = None) -> DataFrame:
     """Runs with one finished; only known counters are taken (ValueError otherwise), notes are cut to 200 characters."""
     unknown = sorted(set(counters) - set(RUN_COUNTERS))

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from rosterlake.plans import directory, q_functions, q_relational, q_state
+from rosterlake.plans import directory, q_functions, q_relational, q_sources, q_state
 
-MODULES = (directory, q_functions, q_relational, q_state)
+MODULES = (directory, q_functions, q_relational, q_state, q_sources)
 
 
 def queries() -> dict:

@@ -128,4 +128,5 @@ def write_sheets(sheets: dict[str, DataFrame], folder: str, fmt: str = "csv") ->
     for name, df in sheets.items():
         flat = df.select(*[F.col(f"`{f.name}`").cast("string") if isinstance(f.dataType, (T.ArrayType, T.StructType)) else F.col(f"`{f.name}`") for f in df.schema.fields]) if fmt == "csv" else df
         writer = flat.write.mode("overwrite")
-        (writer.option("header", True) if fmt == "csv" else writer).format(fmt).save(str(Path(folder) / name) if "://" not in folder else f"{folder}/{name}")
+        text = {"header": True, "escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+        (writer.options(**text) if fmt == "csv" else writer).format(fmt).save(str(Path(folder) / name) if "://" not in folder else f"{folder}/{name}")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import os
+import re
 from dataclasses import dataclass, field, fields
 from pathlib import Path
 
@@ -28,9 +29,54 @@ def states(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(sorted(STATE_CODES.items()), "label string, code string")
 
 
+def _plain(text: str):
+    """A value of a settings file: quotes are taken off, [a, b] is a list."""
+    text = text.strip()
+    if text.startswith("[") and text.endswith("]"):
+        return [_plain(x) for x in re.findall(r"'[^']*'|\"[^\"]*\"|[^,]+", text[1:-1]) if x.strip()]
+    return text[1:-1] if len(text) > 1 and text[0] == text[-1] and text[0] in "'\"" else text
+
+
+def read_sections(text: str) -> dict:
+    """Settings in sections by indentation: ``key: value``, ``key:`` with deeper lines or ``- item`` lines below it, ``#`` comments."""
+    root: dict = {}
+    open_at: list[tuple[int, object]] = [(-1, root)]
+    for line in text.splitlines():
+        bare = re.sub(r"(^|\s)#.*$", "", line).rstrip()
+        if not bare.strip():
+            continue
+        depth, body = len(bare) - len(bare.lstrip()), bare.strip()
+        while open_at[-1][0] >= depth and not (body.startswith("- ") and open_at[-1][0] == depth and isinstance(open_at[-1][1], list)):
+            open_at.pop()
+        holder = open_at[-1][1]
+        if body.startswith("- "):
+            if isinstance(holder, list):
+                holder.append(_plain(body[2:]))
+            continue
+        key, sep, value = body.partition(":")
+        if not sep or not isinstance(holder, dict):
+            continue
+        if value.strip():
+            holder[key.strip()] = _plain(value)
+        else:
+            rest = text.split(line, 1)[1].lstrip("\n").splitlines()
+            holder[key.strip()] = [] if rest and rest[0].lstrip().startswith("- ") else {}
+            open_at.append((depth, holder[key.strip()]))
+    return root
+
+
+def flattened(tree, prefix: str = "") -> dict[str, str]:
+    """The leaves of nested settings by their path, joined by dots."""
+    items = tree.items() if isinstance(tree, dict) else enumerate(tree)
+    out: dict[str, str] = {}
+    for k, v in items:
+        out |= flattened(v, f"{prefix}{k}.") if isinstance(v, (dict, list)) else {f"{prefix}{k}": v}
+    return out
+
+
 @dataclass
 class Settings:
-    """Settings of a run; a JSON or simple ``key: value`` file, then the environment, override the defaults."""
+    """Settings of a run; a JSON file or one in sections, then the environment, override the defaults."""
 
     data_dir: str = "data"
     checksum: str = "warn"
@@ -48,8 +94,7 @@ class Settings:
             try:
                 given = json.loads(text)
             except ValueError:
-                rows = (line.split("#")[0].partition(":") for line in text.splitlines())
-                given = {k.strip(): v.strip().strip("'\"") for k, sep, v in rows if sep and k.strip()}
+                given = {k: v for k, v in read_sections(text).items()}
         out, known = cls(), {f.name: f for f in fields(cls) if f.name != "extra"}
         if env.get("ROSTERLAKE_DATA_DIR"):
             given["data_dir"] = env["ROSTERLAKE_DATA_DIR"]
