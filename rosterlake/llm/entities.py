@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rosterlake.llm import addresses, hospitals, linking
-from rosterlake.session import cut, table
+from rosterlake.session import cut, table, written
 
 
 def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -14,13 +14,25 @@ def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     providers, orgs = table(spark, sf_dir, "providers"), table(spark, sf_dir, "organizations")
     people = cut(linking.people(providers))
     persons = linking.pairs_of(linking.person_classes(people)).withColumn("kind", F.lit("person"))
-    links = cut(linking.org_links(cut(linking.mentions(orgs, providers))))
+    links = written(linking.org_links(cut(linking.mentions(orgs, providers))))
     classes = cut(linking.org_classes(links))
     same = linking.pairs_of(classes.select((F.col("id") / 2).cast("bigint").alias("id"), "root")).withColumn("kind", F.lit("organization"))
     practice = linking.practice_pairs(links, classes).withColumn("kind", F.lit("practice"))
     return persons.unionByName(same).unionByName(practice).select("kind", "id_a", "id_b").distinct()
 
 
+def p2_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per listing and organization: its class, the class's number of rows, and so how many others it is linked to."""
+    providers, orgs = table(spark, sf_dir, "providers"), table(spark, sf_dir, "organizations")
+    persons = linking.person_classes(cut(linking.people(providers))).select(F.lit("person").alias("kind"), "id", "root")
+    same = linking.org_classes(linking.org_links(cut(linking.mentions(orgs, providers)))).select(F.lit("organization").alias("kind"), (F.col("id") / 2).cast("bigint").alias("id"), (F.col("root") / 2).cast("bigint").alias("root"))
+    known = providers.select(F.lit("person").alias("kind"), F.col("provider_id").alias("id")).unionByName(orgs.select(F.lit("organization").alias("kind"), F.col("organization_id").alias("id"))).where("id is not null").distinct()
+    member = known.join(written(persons.unionByName(same)), ["kind", "id"], "left").withColumn("root", F.coalesce("root", "id"))
+    # Counted before they are joined, so that a class of a third of all rows isn't gathered.
+    sizes = member.groupBy("kind", "root").agg(F.count("*").alias("size"))
+    return member.join(sizes, ["kind", "root"]).select("kind", "id", F.col("root").alias("class_id"), "size", (F.col("size") - 1).alias("links"))
+
+
 def p3_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pairs of organizations and listed hospitals with the rule that found them and its confidence."""
     left = hospitals.records(hospitals.from_organizations(table(spark, sf_dir, "organizations")))
@@ -36,7 +48,7 @@ def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _located(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     loc = table(spark, sf_dir, "locations").select(F.col("location_id").alias("id"), "address", "city", "state", "zip")
     pro = table(spark, sf_dir, "providers").select(F.col("provider_id").alias("id"), "address", "city", "state", "zip")
-    rows = cut(addresses.read_addresses(loc.withColumn("kind", F.lit("location")).unionByName(pro.withColumn("kind", F.lit("provider"))), ["kind", "id"]))
+    rows = written(addresses.read_addresses(loc.withColumn("kind", F.lit("location")).unionByName(pro.withColumn("kind", F.lit("provider"))), ["kind", "id"]))
     both = cut(addresses.with_place(rows, addresses.places(rows)))
     return both.where("kind = 'location'"), both.where("kind = 'provider'")
 
@@ -49,5 +61,5 @@ def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("kind", "id_a", "id_b").distinct()
 
 
-QUERIES = {"p2_found": p2_found, "p3_found": p3_found, "p3_matches": p3_matches, "p7_found": p7_found}
+QUERIES = {"p2_found": p2_found, "p2_classes": p2_classes, "p3_found": p3_found, "p3_matches": p3_matches, "p7_found": p7_found}
 ORACLE: dict[str, str] = {}

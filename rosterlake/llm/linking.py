@@ -18,10 +18,10 @@ from pyspark.sql import functions as F
 from rosterlake.llm import addresses
 from rosterlake.llm.addresses import read_address, read_city, read_state, read_zip
 from rosterlake.llm.graph import components, neighbours
-from rosterlake.llm.names import align_persons, person_tokens, share_given
+from rosterlake.llm.names import align_persons, person_tokens, read_person, share_given, use
 from rosterlake.llm.orgnames import ACRONYM, align_orgs, own_tokens
 from rosterlake.llm.survivors import told, valid_npi
-from rosterlake.session import cut, spread
+from rosterlake.session import cut, spread, written
 
 #: Agreement of persons' names that a context asks for: with a number, telephone, place or practice, and with a locality only.
 NEAR_CONTEXT, LOCALITY_ONLY = 0.2, 0.6
@@ -61,7 +61,7 @@ def located(rows: DataFrame, keep: list[str]) -> DataFrame:
 
 def placed(rows: DataFrame, keep: list[str]) -> DataFrame:
     """``located`` with the place of each address (null without one)."""
-    read = cut(located(rows, keep))
+    read = written(located(rows, keep))
     whole = read.where("street is not null and num is not null")
     found = addresses.places(whole)
     keyed = found.select(*[F.col(f).alias(f"p_{f}") for f in addresses.FIELDS], "place")
@@ -131,6 +131,40 @@ def people(providers: DataFrame) -> DataFrame:
     return placed(kept, ["id", "name", "npi", "tel", "practice", "specialty"])
 
 
+#: Numbers under which two given names must stand for each other, and their least share of the fuller one's numbers.
+LEARNED_NUMBERS, LEARNED_SHARE = 4, 0.02
+
+
+def learned_forms(rows: DataFrame) -> frozenset[tuple[str, str]]:
+    """(given name, other form) pairs that the rows themselves show: one family name and number, two given names.
+
+    Each number's most frequent given name is paired with its others, no
+    others among themselves, so that a number on a third of all rows costs no
+    more than its names. Pairs that typing errors or initials explain are left
+    out, and those of fewer than LEARNED_NUMBERS numbers or LEARNED_SHARE of
+    the name's numbers, as changes of name and errors in numbers are spread
+    over many. What comes to the driver is at most 1 / LEARNED_SHARE forms per
+    name that LEARNED_NUMBERS persons bear.
+    """
+
+    def cut_up(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            out = []
+            for n, name in zip(pdf.npi, pdf.name):
+                given, family, _ = read_person(name)
+                if given and family and len(given[0]) > 1:
+                    out.append((n, "".join(family), given[0]))
+            yield pd.DataFrame(out, columns=["npi", "family", "given"], dtype=object)
+
+    named = rows.where("npi is not null and name is not null").select("npi", "name").mapInPandas(cut_up, "npi string, family string, given string")
+    counted = written(named.groupBy("npi", "family", "given").agg(F.count("*").alias("n")))
+    main = counted.groupBy("npi", "family").agg(F.max_by("given", F.struct("n", F.length("given"), "given")).alias("full"), F.count("*").alias("forms"))
+    pairs = counted.join(main.where("forms > 1"), ["npi", "family"]).where("given <> full").groupBy("full", "given").agg(F.count("*").alias("n"))
+    pairs = pairs.where(F.col("n") >= LEARNED_NUMBERS).where(F.levenshtein("full", "given") > 2)
+    borne = main.groupBy("full").agg(F.count("*").alias("all"))
+    return frozenset((r[0], r[1]) for r in pairs.join(borne, "full").where(F.col("n") >= LEARNED_SHARE * F.col("all")).select("full", "given").collect())
+
+
 def person_links(rows: DataFrame) -> DataFrame:
     """(a, b, weight, npi_a, npi_b): listings whose names and contexts agree; a < b.
 
@@ -140,8 +174,17 @@ def person_links(rows: DataFrame) -> DataFrame:
     only the locality in common, names must agree well and specialties not
     differ. Rows without a name have no links.
     """
-    toks = cut(tokens_of(rows, person_tokens))
-    more = tokens_of(rows.where("npi is not null"), lambda n: person_tokens(n, True))
+    learned = learned_forms(rows)
+
+    def with_forms(how):
+        def call(*names):
+            use(learned)
+            return how(*names)
+
+        return call
+
+    toks = written(tokens_of(rows, person_tokens))
+    more = tokens_of(rows.where("npi is not null"), with_forms(lambda n: person_tokens(n, True)))
     near = cut(neighbours(toks.unionByName(more)))
     town = contexts(rows, {"z": F.col("zip5"), "p": F.col("tel")}).join(toks, "id")
     number = contexts(rows, {"n": F.col("npi")}).join(more, "id")
@@ -156,7 +199,7 @@ def person_links(rows: DataFrame) -> DataFrame:
         _same("npi").alias("same_npi"), _same("tel").alias("same_tel"), _same("place").alias("same_place"), (_same("zip5") | (_near_city() & ~_differ("zip5") & ~_differ("state"))).alias("same_town"),
         _same("specialty").alias("same_specialty"), _differ("specialty").alias("other_specialty"),
     )
-    scored = aligned(aligned(flat, "na", "nb", align_persons, "score"), "na", "nb", share_given, "shared")
+    scored = aligned(aligned(flat, "na", "nb", with_forms(align_persons), "score"), "na", "nb", with_forms(share_given), "shared")
     asked = scored.where("score > 0 or (same_npi and shared > 0)")
     asked = aligned(asked, "pa", "pb", lambda p, q: align_orgs(p, q) if p and q else 0.0, "practice")
     at_work = F.col("same_tel") | F.col("same_place") | (F.col("practice") >= ORG_AGREES) & F.col("same_town")
@@ -175,7 +218,7 @@ def person_classes(rows: DataFrame) -> DataFrame:
     links, each written to the shared folder. One that is drawn equally to two
     classes joins none. What remains is joined among itself.
     """
-    links = cut(person_links(rows))
+    links = written(person_links(rows))
     core = components(links.where("npi_a = npi_b"))
     ends = links.where("npi_a is null or npi_b is null")
     sides = cut(ends.select(F.col("a").alias("id"), F.col("npi_a").alias("own"), F.col("b").alias("other"), "weight").unionByName(ends.select(F.col("b").alias("id"), F.col("npi_b").alias("own"), F.col("a").alias("other"), "weight")))
@@ -208,7 +251,7 @@ def pairs_of(classes: DataFrame, id_type: str = "bigint") -> DataFrame:
 
 
 def mentions(organizations: DataFrame, providers: DataFrame) -> DataFrame:
-    """Organizations (positive id) and the practices that listings name (negative id, one per listing)."""
+    """Organizations (even ids) and the practices that listings name (odd ids, one per listing)."""
     cols = ["address", "city", "state", "zip"]
     org = organizations.where("organization_id is not null").select((F.col("organization_id") * 2).alias("id"), F.col("name"), ten_digits(F.col("phone")).alias("tel"), site_of(F.col("website")).alias("site"), *cols)
     pro = providers.where("provider_id is not null").select((F.col("provider_id") * 2 + 1).alias("id"), told(F.col("practice_name")).alias("name"), ten_digits(F.col("phone")).alias("tel"), F.lit(None).cast("string").alias("site"), *cols)
@@ -227,7 +270,7 @@ def org_links(rows: DataFrame) -> DataFrame:
     codes, states or telephones without a common place contradict. Campuses
     named apart are apart. Rows without a name have no links.
     """
-    toks = cut(tokens_of(rows, own_tokens))
+    toks = written(tokens_of(rows, own_tokens))
     near = cut(neighbours(toks))
     coded = contexts(rows, {"z": F.col("zip5")}).join(toks, "id")
     # Rows with postal codes meet in these; what else is in common is asked only where one of the two has none.

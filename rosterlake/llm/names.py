@@ -14,18 +14,23 @@ from functools import lru_cache
 
 from rosterlake.llm.addresses import near
 
-#: Given names and the short forms in use for them.
+#: Everyday English and Spanish given names and the short forms in use for them. What else is in use
+#: among the rows at hand is learned from them (``linking.learned_forms``).
 NICKNAMES = {
-    "abigail": "abby gail abbie", "alexander": "alex sandy xander al lex", "anastasia": "ana stacy nastya", "andres": "andy dre", "benjamin": "ben benji benny",
-    "cassandra": "cassie sandra cass sandy", "christopher": "chris kit topher", "darius": "dar", "dorothea": "dot thea dottie dora", "edward": "ed eddie ted ned teddy",
-    "elizabeth": "liz beth eliza betty lizzie betsy libby", "fatima": "fati", "frederick": "fred freddy freddie rick", "gwendolyn": "gwen wendy", "hector": "hec", "ignatius": "iggy nate",
-    "ines": "nes", "ingrid": "inga", "jennifer": "jen jenny jenn", "jose": "pepe joe", "josephine": "jo josie fina joey", "katherine": "kate katie kathy kit kat katharine catherine kitty",
-    "leopold": "leo poldi", "lucia": "lucy lu", "margaret": "maggie meg peggy marge greta daisy", "marisol": "mari sol", "michael": "mike mick mickey micky", "nathaniel": "nate nat nathan",
-    "omar": "", "patricia": "pat tricia patty trish patsy", "philippa": "pippa pip", "rebecca": "becca becky beck", "richard": "rich dick rick ricky richie", "robert": "rob bob bobby robbie bert",
-    "samuel": "sam sammy", "susannah": "sue suzy susie anna susanna", "theodore": "ted theo teddy", "tobias": "toby", "victoria": "vicky tori vicki", "william": "will bill wm billy willie liam",
-    "zachary": "zach zack zac", "james": "jim jimmy jamie", "john": "jack johnny", "thomas": "tom tommy", "joseph": "joe joey", "charles": "charlie chuck", "daniel": "dan danny", "matthew": "matt",
-    "anthony": "tony", "steven": "steve", "kenneth": "ken", "timothy": "tim", "gregory": "greg", "ronald": "ron", "donald": "don", "deborah": "deb debbie", "barbara": "barb", "susan": "sue susie",
-    "kimberly": "kim", "pamela": "pam", "cynthia": "cindy", "sandra": "sandy", "judith": "judy", "peter": "pete", "lawrence": "larry", "gerald": "jerry", "eugene": "gene", "walter": "walt",
+    "abigail": "abby", "albert": "al bert", "alejandro": "alex ale", "alexander": "alex", "alfred": "fred alf", "amanda": "mandy", "andrew": "andy drew", "angela": "angie", "anthony": "tony", "antonio": "tono",
+    "arthur": "art", "barbara": "barb babs", "benjamin": "ben benny", "bernard": "bernie", "bradley": "brad", "catherine": "cathy kate", "charles": "charlie chuck", "christina": "chris tina", "christopher": "chris kit",
+    "concepcion": "concha", "cynthia": "cindy", "daniel": "dan danny", "david": "dave", "deborah": "deb debbie", "dennis": "denny", "dolores": "lola", "donald": "don donnie", "dorothy": "dot dottie", "douglas": "doug",
+    "eduardo": "lalo", "edward": "ed eddie ned ted", "eleanor": "ellie nell", "elizabeth": "liz beth betty betsy eliza lizzie libby", "enrique": "quique", "eugene": "gene", "florence": "flo", "frances": "fran",
+    "francis": "frank", "francisco": "paco pancho", "franklin": "frank", "frederick": "fred freddie freddy", "gabriel": "gabe", "geoffrey": "geoff", "gerald": "jerry", "gregory": "greg", "guadalupe": "lupe",
+    "guillermo": "memo", "harold": "hal harry", "henry": "hank harry", "howard": "howie", "ignacio": "nacho", "isabella": "bella izzy", "jacob": "jake", "jacqueline": "jackie", "james": "jim jimmy jamie", "janet": "jan",
+    "jeffrey": "jeff", "jennifer": "jen jenny", "jessica": "jess", "jesus": "chuy", "john": "jack johnny", "jonathan": "jon", "jose": "pepe", "joseph": "joe joey", "josephine": "jo josie", "joshua": "josh", "judith": "judy",
+    "katherine": "kate katie kathy kit kay", "kenneth": "ken kenny", "kimberly": "kim", "lawrence": "larry", "leonard": "leo len lenny", "lillian": "lily", "louis": "lou louie", "louise": "lou", "lucille": "lucy",
+    "manuel": "manolo", "margaret": "maggie meg peggy marge", "martin": "marty", "matthew": "matt", "maximilian": "max", "mercedes": "meche", "michael": "mike mick mickey", "mildred": "millie", "mitchell": "mitch",
+    "nathaniel": "nate nat nathan", "nicholas": "nick", "nicole": "nicki", "norman": "norm", "oliver": "ollie", "pamela": "pam", "patricia": "pat patty trish tricia", "patrick": "pat paddy", "peter": "pete",
+    "philip": "phil", "raymond": "ray", "rebecca": "becky becca", "reginald": "reggie", "richard": "rick dick rich ricky", "robert": "bob rob bobby robbie bert", "ronald": "ron ronnie", "rosario": "charo",
+    "russell": "russ", "samantha": "sam", "samuel": "sam sammy", "sandra": "sandy", "sarah": "sally sadie", "stephen": "steve", "steven": "steve", "stuart": "stu", "susan": "sue susie", "suzanne": "sue suzy",
+    "terrence": "terry", "theodore": "ted teddy theo", "theresa": "terry tess", "thomas": "tom tommy", "timothy": "tim", "tobias": "toby", "valerie": "val", "victor": "vic", "victoria": "vicky tori", "vincent": "vince",
+    "virginia": "ginny", "walter": "walt wally", "william": "bill will billy willie liam", "zachary": "zach",
 }
 #: What may stand around a person's name without being part of it, and generations, which are part of it.
 TITLES = frozenset("dr doctor mr mrs ms miss prof professor md do aprn dpt pa pac dpm phd od rn np fnp dnp esq dds dmd".split())
@@ -34,10 +39,28 @@ GENERATIONS = {"jr": "jr", "junior": "jr", "sr": "sr", "senior": "sr", "ii": "2"
 #: Letters that no accent is taken from.
 _PLAIN = str.maketrans({"ø": "o", "Ø": "O", "ł": "l", "Ł": "L", "đ": "d", "Đ": "D", "ß": "ss", "æ": "ae", "Æ": "AE", "œ": "oe", "ı": "i"})
 _LETTERS = re.compile(r"[a-z]+|\d+[a-z]*")
+#: Short and full forms by the full forms that they may stand for, those full forms' short ones, and what was learned.
 _SHORT: dict[str, frozenset[str]] = {}
-for _full, _nicks in NICKNAMES.items():
-    for _n in (_full, *_nicks.split()):
-        _SHORT[_n] = _SHORT.get(_n, frozenset()) | {_full}
+_FORMS: dict[str, tuple[str, ...]] = {}
+_LEARNED: frozenset[tuple[str, str]] | None = None
+
+
+def use(learned: frozenset[tuple[str, str]]) -> None:
+    """From here on, in this process, read names with these (full form, other form) beside NICKNAMES."""
+    global _LEARNED
+    if learned == _LEARNED:
+        return
+    _LEARNED = learned
+    forms: dict[str, set[str]] = {f: set(v.split()) for f, v in NICKNAMES.items()}
+    for full, other in learned:
+        forms.setdefault(full, set()).add(other)
+    _SHORT.clear(), _FORMS.clear()
+    for full, others in forms.items():
+        _FORMS[full] = tuple(sorted(others))
+        for n in (full, *others):
+            _SHORT[n] = _SHORT.get(n, frozenset()) | {full}
+    for f in (token_score, _initials, _close_known, align_persons, share_given):
+        f.cache_clear()
 
 
 def plain(text: str) -> str:
@@ -113,7 +136,7 @@ def token_score(a: str, b: str) -> float:
 @lru_cache(maxsize=100_000)
 def _initials(token: str) -> frozenset[str]:
     """Initials of the full and short forms that a given name may stand for."""
-    return frozenset(v[0] for f in _close_known(token) for v in (f, *NICKNAMES[f].split()))
+    return frozenset(v[0] for f in _close_known(token) for v in (f, *_FORMS[f]))
 
 
 @lru_cache(maxsize=100_000)
@@ -295,3 +318,6 @@ def person_tokens(name: str | None, with_given: bool = False) -> list[str]:
     if with_given:
         out.update(f for t in toks for f in (_close_known(t) or (t,)))
     return sorted(out)
+
+
+use(frozenset())
