@@ -8,10 +8,15 @@ step. Chains of other entities are not recomputed.
 
 from __future__ import annotations
 
+import json
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from rosterlake.session import written
+from rosterlake.sources.files import children
 
 
 def folded(col: Column) -> Column:
@@ -48,76 +53,68 @@ def build_chains(raw: DataFrame, key: str, at: str, attrs: list[str]) -> DataFra
     return starts.select(key, *attrs, F.col(at).alias("valid_from"), F.lead(at).over(by_key).alias("valid_to"))
 
 
+def said_new(raw_before: DataFrame, update: DataFrame, key: str, at: str, attrs: list[str]) -> DataFrame:
+    """The raw changes of ``update`` with a moment or value that ``raw_before`` doesn't have."""
+    same = [F.col(f"u.{c}") == F.col(f"r.{c}") for c in (key, at)]
+    return update.alias("u").join(raw_before.alias("r"), same, "left").where(
+        F.col(f"r.{key}").isNull() | reduce(Column.__or__, [F.col(f"u.{a}").isNotNull() & ~F.col(f"u.{a}").eqNullSafe(F.col(f"r.{a}")) for a in attrs])
+    ).select("u.*")
+
+
 def rebuild_affected(chains: DataFrame, raw_before: DataFrame, update: DataFrame, key: str, at: str, attrs: list[str]) -> DataFrame:
     """Chains after ``update`` (more raw changes of the form of ``raw_changes``).
 
     Touched are the keys for which the update has a moment or value that the
-    raw changes don't have. Only their raw changes are retrieved and rebuilt;
-    the others' chains pass through. An empty update returns ``chains``.
+    raw changes don't have (``said_new``). Only their raw changes are
+    retrieved and rebuilt; the others' chains pass through. An update that
+    says nothing new returns ``chains``.
     """
-    same = [F.col(f"u.{c}") == F.col(f"r.{c}") for c in (key, at)]
-    new = update.alias("u").join(raw_before.alias("r"), same, "left").where(
-        F.col(f"r.{key}").isNull() | reduce(Column.__or__, [F.col(f"u.{a}").isNotNull() & ~F.col(f"u.{a}").eqNullSafe(F.col(f"r.{a}")) for a in attrs])
-    ).select("u.*")
+    return replaced(chains, raw_before, said_new(raw_before, update, key, at, attrs), key, at, attrs)
+
+
+def replaced(chains: DataFrame, raw_before: DataFrame, new: DataFrame, key: str, at: str, attrs: list[str]) -> DataFrame:
+    """Chains with those of the keys in ``new`` rebuilt from their raw changes and ``new``."""
     touched = new.select(key).distinct()
     theirs = raw_before.join(touched, key, "left_semi").unionByName(new)
     merged = theirs.groupBy(key, at).agg(*[F.max(a).alias(a) for a in attrs])
-    rebuilt = build_chains(merged, key, at, attrs)
-    return chains.join(touched, key, "left_anti").unionByName(rebuilt)
+    return chains.join(touched, key, "left_anti").unionByName(build_chains(merged, key, at, attrs))
 
 
-def replay(rows: DataFrame, key: str, at: str, attrs: list[str], arrived: Column) -> DataFrame:
-    """The chains after a first load (rows for which ``arrived`` isn't true) and one update (the others).
-
-    The same as ``rebuild_affected`` on the chains of the first load, without
-    storing them between: raw changes of both are gathered in one aggregation,
-    a key is touched if the update says something new about it, and both
-    kinds of chains are built on the one partitioning by key.
-    """
-    late = F.coalesce(arrived, F.lit(False))
-    read = rows.where(F.col(key).isNotNull() & F.col(at).isNotNull()).select(key, at, late.alias("__late"), *[folded(F.col(a)).alias(a) for a in attrs])
-    both = read.groupBy(key, at).agg(
-        F.bool_or(~F.col("__late")).alias("__early"),
-        *[F.max(F.when(~F.col("__late"), F.col(a))).alias(f"__0{a}") for a in attrs],
-        *[F.max(F.when(F.col("__late"), F.col(a))).alias(f"__1{a}") for a in attrs],
-    )
-    merged = {a: F.greatest(F.col(f"__0{a}"), F.col(f"__1{a}")) for a in attrs}
-    says_new = reduce(Column.__or__, [~merged[a].eqNullSafe(F.col(f"__0{a}")) for a in attrs], ~F.col("__early"))
-    marked = both.withColumn("__touched", F.max(says_new).over(Window.partitionBy(key)))
-    kept = marked.where("not __touched").select(key, at, *[F.col(f"__0{a}").alias(a) for a in attrs])
-    theirs = marked.where("__touched").select(key, at, *[c.alias(a) for a, c in merged.items()])
-    return build_chains(kept, key, at, attrs).unionByName(build_chains(theirs, key, at, attrs))
+#: Buckets of a store's keys; a bucket is what an update rewrites at least.
+BUCKETS = 64
 
 
 class ChainStore:
-    """Raw changes and chains as tables in a folder; updates replace touched chains atomically.
-
-    Every version is a new pair of directories; ``CURRENT`` names the one in
-    force and is swapped by a rename after both are complete. A reader sees
-    the old or the new version, never a mixture, and a failed update leaves
-    the old one in force.
+    """Raw changes and chains as tables in a folder, bucketed by key; updates replace the touched chains atomically.
+
+    An update writes only the buckets that hold touched keys, and reads only
+    these. A manifest names the version in force of every bucket and is
+    replaced by a rename after all of an update's files are complete: a reader
+    sees the old chains or the new ones, never a mixture, and a failed update
+    leaves the old ones in force. Files that neither this manifest nor the one
+    before names are removed. One writer at a time.
     """
 
-    def __init__(self, path: str, key: str, at: str, attrs: list[str]):
-        self.path, self.key, self.at, self.attrs = path.rstrip("/"), key, at, attrs
+    def __init__(self, path: str, key: str, at: str, attrs: list[str], buckets: int = BUCKETS):
+        self.path, self.key, self.at, self.attrs, self.buckets = path.rstrip("/"), key, at, attrs, buckets
 
     def _fs(self, spark):
         jvm = spark._jvm
         root = jvm.org.apache.hadoop.fs.Path(self.path)
         return jvm, root.getFileSystem(spark._jsc.hadoopConfiguration())
 
-    def current(self, spark) -> int | None:
+    def manifest(self, spark) -> dict:
+        """{"version": n, "buckets": {bucket: version}}; without a store version -1 and no buckets."""
         jvm, fs = self._fs(spark)
-        pointer = jvm.org.apache.hadoop.fs.Path(f"{self.path}/CURRENT")
-        if not fs.exists(pointer):
-            return None
-        return int(spark.read.text(f"{self.path}/CURRENT").first()[0])
+        if not fs.exists(jvm.org.apache.hadoop.fs.Path(f"{self.path}/CURRENT")):
+            return {"version": -1, "buckets": {}}
+        return json.loads(spark.read.text(f"{self.path}/CURRENT", wholetext=True).first()[0])
 
-    def _publish(self, spark, version: int) -> None:
+    def _publish(self, spark, manifest: dict) -> None:
         jvm, fs = self._fs(spark)
-        made = jvm.org.apache.hadoop.fs.Path(f"{self.path}/CURRENT.{version}")
+        made = jvm.org.apache.hadoop.fs.Path(f"{self.path}/CURRENT.{manifest['version']}")
         out = fs.create(made, True)
-        out.write(str(version).encode())
+        out.write(json.dumps(manifest).encode())
         out.close()
         pointer = jvm.org.apache.hadoop.fs.Path(f"{self.path}/CURRENT")
         context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(made.toUri(), spark._jsc.hadoopConfiguration()) if made.toUri().getScheme() else jvm.org.apache.hadoop.fs.FileContext.getFileContext(spark._jsc.hadoopConfiguration())
@@ -125,21 +122,56 @@ class ChainStore:
         overwrite[0] = jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
         context.rename(made, pointer, overwrite)
 
-    def chains(self, spark) -> DataFrame:
-        return spark.read.parquet(f"{self.path}/chains/v{self.current(spark)}")
+    def _bucket(self) -> Column:
+        return F.pmod(F.xxhash64(self.key), F.lit(self.buckets)).cast("int")
+
+    def _read(self, spark, what: str, manifest: dict, schema: T.StructType, only: set[int] | None = None) -> DataFrame:
+        paths = [f"{self.path}/{what}/v{v}/bucket={b}" for b, v in manifest["buckets"].items() if only is None or int(b) in only]
+        jvm, fs = self._fs(spark)
+        # A bucket whose keys have no version yet has raw changes only.
+        there = [p for p in paths if what == "raw" or fs.exists(jvm.org.apache.hadoop.fs.Path(p))]
+        return spark.read.schema(schema).parquet(*there) if there else spark.createDataFrame([], schema)
+
+    def _schema(self, rows: DataFrame, chains: bool) -> T.StructType:
+        key, at = rows.schema[self.key], rows.schema[self.at].dataType
+        attrs = [T.StructField(a, T.StringType()) for a in self.attrs]
+        return T.StructType([key, *attrs, T.StructField("valid_from", at), T.StructField("valid_to", at)] if chains else [key, T.StructField(self.at, at), *attrs])
+
+    def chains(self, spark, schema: T.StructType | None = None) -> DataFrame:
+        """All chains in force."""
+        manifest = self.manifest(spark)
+        return self._read(spark, "chains", manifest, schema or T.StructType.fromJson(manifest["schema"]))
 
     def apply(self, rows: DataFrame) -> int:
-        """Add rows, rebuild the touched chains, return the new version."""
-        spark, old = rows.sparkSession, self.current(rows.sparkSession)
-        update = raw_changes(rows, self.key, self.at, self.attrs)
-        version = 0 if old is None else old + 1
-        if old is None:
-            raw, chains = update, build_chains(update, self.key, self.at, self.attrs)
-        else:
-            before = spark.read.parquet(f"{self.path}/raw/v{old}")
-            chains = rebuild_affected(self.chains(spark), before, update, self.key, self.at, self.attrs)
-            raw = before.unionByName(update).groupBy(self.key, self.at).agg(*[F.max(a).alias(a) for a in self.attrs])
-        raw.write.mode("overwrite").parquet(f"{self.path}/raw/v{version}")
-        chains.write.mode("overwrite").parquet(f"{self.path}/chains/v{version}")
-        self._publish(spark, version)
+        """Add rows, rebuild the touched chains, return the new version.
+
+        A key is touched if the rows say something of it that the store
+        doesn't know. Buckets without a touched key stay as they are.
+        """
+        spark, now = rows.sparkSession, self.manifest(rows.sparkSession)
+        version, names = now["version"] + 1, [self.key, self.at, *self.attrs]
+        update = raw_changes(rows, self.key, self.at, self.attrs).select(*names)
+        raw = self._read(spark, "raw", now, self._schema(update, False))
+        new = written(said_new(raw, update, self.key, self.at, self.attrs))
+        # As many as there are buckets.
+        touched = {r[0] for r in new.select(self._bucket().alias("b")).distinct().collect()}
+        if touched:
+            before = [self._read(spark, what, now, self._schema(update, what == "chains"), touched) for what in ("raw", "chains")]
+            merged = before[0].unionByName(new).groupBy(self.key, self.at).agg(*[F.max(a).alias(a) for a in self.attrs])
+            rebuilt = replaced(before[1], before[0], new, self.key, self.at, self.attrs)
+            for what, df in (("raw", merged), ("chains", rebuilt)):
+                df.withColumn("bucket", self._bucket()).repartition("bucket").write.mode("overwrite").partitionBy("bucket").parquet(f"{self.path}/{what}/v{version}")
+        after = {"version": version, "buckets": now["buckets"] | {str(b): version for b in touched}, "schema": self._schema(update, True).jsonValue()}
+        self._publish(spark, after)
+        self._tidy(spark, now, after)
         return version
+
+    def _tidy(self, spark, *kept: dict) -> None:
+        """Remove files that none of the manifests names."""
+        jvm, fs = self._fs(spark)
+        named = {(str(v), str(b)) for m in kept for b, v in m["buckets"].items()}
+        for what in ("raw", "chains"):
+            for v in children(spark, f"{self.path}/{what}"):
+                for b in children(spark, f"{self.path}/{what}/{v}"):
+                    if b.startswith("bucket=") and (v[1:], b[7:]) not in named:
+                        fs.delete(jvm.org.apache.hadoop.fs.Path(f"{self.path}/{what}/{v}/{b}"), True)

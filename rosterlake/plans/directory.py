@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from rosterlake.operators.history import ChainStore
 from rosterlake.operators.nested import child_tables, spool_children, typed_children
 from rosterlake.operators.snapshots import snapshot_changes
-from rosterlake.session import shared_dir, table
+from rosterlake.session import scratch, table
 
 #: The columns of a delivery that are compared where a content hash is missing.
 COMPARED = ["full_name", "credentials", "specialty", "primary_site_of_care", "practice_name", "address", "city", "state", "zip", "phone", "location_count"]
@@ -42,7 +42,7 @@ def p4_chains(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "provider_snapshots")
     last = rows.agg(F.max("run_id")).first()[0]
     update = F.coalesce(F.col("run_id") == F.lit(last), F.lit(False))
-    store = ChainStore(f"{shared_dir(spark)}/chains-{uuid4().hex}", "provider_id", "updated_date", ["specialty", "primary_site_of_care"])
+    store = ChainStore(f"{scratch(spark)}/chains-{uuid4().hex}", "provider_id", "updated_date", ["specialty", "primary_site_of_care"])
     store.apply(rows.where(~update))
     store.apply(rows.where(update))
     return store.chains(spark)

@@ -31,11 +31,19 @@ def brute(data):
     return sorted((tuple(None if v is None else str(v) for v in r) for r in out), key=repr)
 
 
-def test_replay_equals_brute_force(spark):
+def replayed(spark, path, df, late="late", key="k", at="at", attrs=("a", "b")):
+    store = h.ChainStore(f"file://{path}", key, at, list(attrs), buckets=4)
+    late = F.col(late) if isinstance(late, str) else late
+    store.apply(df.where(~late))
+    store.apply(df.where(late))
+    return store.chains(spark)
+
+
+def test_store_equals_brute_force(spark, tmp_path):
     for seed in range(3):
         data = make(60, seed)
         df = spark.createDataFrame(data, SCHEMA)
-        assert rows(h.replay(df, "k", "at", ["a", "b"], F.col("late"))) == brute(data)
+        assert rows(replayed(spark, f"{tmp_path}/{seed}", df)) == brute(data)
 
 
 def test_store_takes_late_and_corrected_updates(spark, tmp_path):
@@ -46,28 +54,45 @@ def test_store_takes_late_and_corrected_updates(spark, tmp_path):
     assert rows(store.chains(spark)) == brute(first)
     assert store.apply(spark.createDataFrame(late, SCHEMA)) == 1
     assert rows(store.chains(spark)) == brute(data)
+    before = store.manifest(spark)
     store.apply(spark.createDataFrame(late, SCHEMA))
-    assert rows(store.chains(spark)) == brute(data)
+    # Nothing new was said: no bucket is written.
+    assert rows(store.chains(spark)) == brute(data) and store.manifest(spark)["buckets"] == before["buckets"]
+
+
+def test_store_writes_touched_buckets_only_and_removes_old_files(spark, tmp_path):
+    store = h.ChainStore(f"file://{tmp_path}/s", "k", "at", ["a", "b"], buckets=8)
+    data = [(k, T0, "x", None, False) for k in range(40)]
+    store.apply(spark.createDataFrame(data, SCHEMA))
+    for n in range(3):
+        store.apply(spark.createDataFrame([(7, T0 + timedelta(n + 1), f"y{n}", None, True)], SCHEMA))
+    versions = store.manifest(spark)["buckets"]
+    assert sorted(versions.values()) == [0] * 7 + [3]
+    files = {str(f.relative_to(f"{tmp_path}/s/chains")) for f in (tmp_path / "s" / "chains").glob("v*/bucket=*")}
+    mine = next(b for b, v in versions.items() if v == 3)
+    assert f"v0/bucket={mine}" not in files and f"v3/bucket={mine}" in files and f"v2/bucket={mine}" in files
+    assert rows(store.chains(spark).where("k = 7"), "a") == [("x",), ("y0",), ("y1",), ("y2",)] and store.chains(spark).count() == 43
 
 
-def test_nulls_ties_and_empty(spark):
+def test_nulls_ties_and_empty(spark, tmp_path):
     df = spark.createDataFrame([(None, T0, "a", "b", False), (1, None, "a", "b", False), (1, T0, None, None, False), (1, T0, "q", None, False), (1, T0, "p", None, True)], SCHEMA)
-    assert rows(h.replay(df, "k", "at", ["a", "b"], F.col("late")), "k", "a", "b") == [("1", "q", None)]
-    assert h.replay(df.limit(0), "k", "at", ["a", "b"], F.col("late")).count() == 0
+    assert rows(replayed(spark, f"{tmp_path}/a", df), "k", "a", "b") == [("1", "q", None)]
+    assert replayed(spark, f"{tmp_path}/b", df.limit(0)).count() == 0
 
 
 def test_p4_applies_the_last_delivery_to_stored_chains(spark, tmp_path, monkeypatch):
     data = [(i, T0 + timedelta(days=d), s, "x", r) for i, d, s, r in [(1, 0, "A", 1), (1, 2, "B", 2), (1, 1, "C", 3), (2, 0, "A", 1), (2, 5, "B", 2), (2, 0, "a ", 3), (3, 0, "A", None)]]
     df = spark.createDataFrame(data, "provider_id long, updated_date timestamp, specialty string, primary_site_of_care string, run_id long")
-    calls, real = [], h.rebuild_affected
+    calls, real = [], h.replaced
 
-    def spy(chains, before, update, *rest):
-        calls.append((chains.count(), before.count(), update.count()))
-        return real(chains, before, update, *rest)
+    def spy(chains, before, new, *rest):
+        calls.append((chains.count(), before.count(), new.count()))
+        return real(chains, before, new, *rest)
 
-    monkeypatch.setattr(h, "rebuild_affected", spy)
+    monkeypatch.setattr(h, "replaced", spy)
     for name, rows_ in (("full", df), ("empty", df.limit(0))):
         rows_.write.parquet(f"{tmp_path}/{name}/provider_snapshots.parquet")
         got = rows(directory.p4_versions(spark, f"{tmp_path}/{name}"))
-        assert got == rows(h.replay(rows_, "provider_id", "updated_date", ["specialty", "primary_site_of_care"], F.col("run_id") == 3).select("provider_id", "specialty", "primary_site_of_care", directory._stamp("valid_from").alias("valid_from"), F.coalesce(directory._stamp("valid_to"), F.lit("open")).alias("valid_to")))
-    assert calls == [(5, 5, 2), (0, 0, 0)]
+        assert got == rows(replayed(spark, f"{tmp_path}/{name}/s", rows_, F.coalesce(F.col("run_id") == 3, F.lit(False)), "provider_id", "updated_date", ("specialty", "primary_site_of_care")).select("provider_id", "specialty", "primary_site_of_care", directory._stamp("valid_from").alias("valid_from"), F.coalesce(directory._stamp("valid_to"), F.lit("open")).alias("valid_to")))
+    # The load, and of the update what it says anew, against the raw changes of its buckets only.
+    assert calls[0] == (0, 0, 5) and calls[1][2] == 1 and calls[1][0] <= 5
