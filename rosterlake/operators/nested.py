@@ -155,12 +155,13 @@ def shape_of(records: DataFrame, record: str = "record") -> tuple[list[str], int
     text = F.to_json(record)
     names = F.array_distinct(F.regexp_extract_all(text, F.lit(r'"([^"\\]+)":\['), F.lit(1)))
     brackets = F.regexp_replace(text, r'"(?:[^"\\]|\\.)*+"|[^\[\]{}]+', "")
+    # Records of one shape are looked at once.
+    shapes = records.select(names.alias("names"), brackets.alias("brackets")).distinct()
     step = F.aggregate(
-        F.split(brackets, ""), F.struct(F.lit(0).alias("now"), F.lit(0).alias("most")),
+        F.split("brackets", ""), F.struct(F.lit(0).alias("now"), F.lit(0).alias("most")),
         lambda at, x: F.struct((at["now"] + F.when(x.isin("{", "["), 1).when(x.isin("}", "]"), -1).otherwise(0)).alias("now"), F.greatest(at["most"], at["now"] + F.when(x.isin("{", "["), 1).otherwise(0)).alias("most")),
     )
-    read = records.select(names.alias("names"), step["most"].alias("depth"))
-    rows = read.select(F.explode_outer("names").alias("n"), "depth").groupBy("n").agg(F.max("depth").alias("depth")).collect()
+    rows = shapes.select(F.explode_outer("names").alias("n"), step["most"].alias("depth")).groupBy("n").agg(F.max("depth").alias("depth")).collect()
     return sorted(r.n for r in rows if r.n is not None), max((r.depth or 0 for r in rows), default=0)
 
 

@@ -42,7 +42,7 @@ def p4_chains(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "provider_snapshots")
     last = rows.agg(F.max("run_id")).first()[0]
     update = F.coalesce(F.col("run_id") == F.lit(last), F.lit(False))
-    store = ChainStore(f"{scratch(spark)}/chains-{uuid4().hex}", "provider_id", "updated_date", ["specialty", "primary_site_of_care"])
+    store = ChainStore(f"{scratch(spark)}/chains-{uuid4().hex}", "provider_id", "updated_date", ["specialty", "primary_site_of_care"], buckets=max(16, rows.count() // 1_000_000))
     store.apply(rows.where(~update))
     store.apply(rows.where(update))
     return store.chains(spark)
