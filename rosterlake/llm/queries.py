@@ -33,6 +33,21 @@ def p5_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return survivors.merged(_best(spark, sf_dir), ["primary_site_of_care", "specialty", "phone"]).withColumnRenamed("entity", "npi")
 
 
+def p5_learned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How the learned order does where times are missing: every second number's are taken away before the choice.
+
+    Per field, of the numbers without times whose values differ: how many, how many get the value that their times
+    would give by the order learned from the other numbers, and how many if the smallest id decides.
+    """
+    rows, entity = table(spark, sf_dir, "providers"), survivors.valid_npi(F.col("npi"))
+    less = rows.withColumn("updated_date", F.when(F.pmod(F.xxhash64(entity), F.lit(2)) == 0, F.col("updated_date")))
+    best = lambda df, learn=True: survivors.best_rows(df, entity, "provider_id", "updated_date", [survivors.Rule(r.name, r.value) for r in survivor_rules()], learn=learn).select("entity", "field", F.lower(F.trim("value")).alias("v"))
+    spoken = rows.select(entity.alias("entity"), F.inline(F.array(*[F.struct(F.lit(r.name).alias("field"), F.lower(F.trim(r.value)).alias("v")) for r in survivor_rules()])))
+    torn = spoken.where("v is not null and pmod(xxhash64(entity), 2) = 1").groupBy("entity", "field").agg(F.min("v").alias("lo"), F.max("v").alias("hi")).where("lo <> hi").select("entity", "field")
+    sides = torn.join(best(rows), ["entity", "field"]).join(best(less).withColumnRenamed("v", "learned"), ["entity", "field"]).join(best(less, False).withColumnRenamed("v", "plain"), ["entity", "field"])
+    return sides.groupBy("field").agg(F.count("*").alias("groups"), F.count_if(F.col("v") == F.col("learned")).alias("by_learned_order"), F.count_if(F.col("v") == F.col("plain")).alias("by_id"))
+
+
 def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents with the test items they leak."""
     return contamination.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "eval_items"))
@@ -83,7 +98,7 @@ b AS (SELECT *, row_number() OVER (PARTITION BY n, field ORDER BY c DESC, update
 """
 
 QUERIES = {
-    "p5_found": p5_found, "p5_records": p5_records, "p8_found": p8_found, "p8_items": p8_items,
+    "p5_found": p5_found, "p5_records": p5_records, "p5_learned": p5_learned, "p8_found": p8_found, "p8_items": p8_items,
     "p9_mixture": p9_mixture, "p9_shares": p9_shares, "p10_found": p10_found,
 }
 ORACLE = {

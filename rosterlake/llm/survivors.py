@@ -79,12 +79,12 @@ def overtaken(values: DataFrame, learned: DataFrame) -> DataFrame:
     return edges.join(own.select("entity", "field", F.col("v").alias("after")), ["entity", "field", "after"], "left_semi").select("entity", "field", "v").distinct()
 
 
-def best_rows(rows: DataFrame, entity: Column, row_id: str, at: str, rules: list[Rule], least: int = 2) -> DataFrame:
+def best_rows(rows: DataFrame, entity: Column, row_id: str, at: str, rules: list[Rule], least: int = 2, learn: bool = True) -> DataFrame:
     """(entity, field, row_id, value): for each entity on ``least`` or more rows, and each field, the row that gives the value.
 
     Order: what the rule ranks first, then the latest ``at``; then, among rows
     without ``at``, values that nothing in the group is known to follow; then
-    the smallest id. Rows without a usable value give none; fields for which
+    the smallest id (without ``learn`` the id alone). Rows without a usable value give none; fields for which
     no row has one have no result. Rows without an entity are left out.
     One aggregation with map-side combination; no group is gathered.
     """
@@ -95,7 +95,7 @@ def best_rows(rows: DataFrame, entity: Column, row_id: str, at: str, rules: list
     untimed = long.where("at is null")
     # The learned order is asked only in groups that have rows without a time.
     asked = long.join(untimed.select("entity", "field").distinct(), ["entity", "field"], "left_semi")
-    late = overtaken(asked, transitions(long)).withColumn("old", F.lit(1))
+    late = overtaken(asked, transitions(long) if learn else transitions(long).limit(0)).withColumn("old", F.lit(1))
     ranked = untimed.join(late, ["entity", "field", "v"], "left").unionByName(long.where("at is not null").withColumn("old", F.lit(0)))
     order = F.struct(F.transform("first", lambda x: -x), F.coalesce(-F.unix_micros(F.col("at").cast("timestamp")), F.lit(2**62)), F.coalesce("old", F.lit(0)), "row")
     best = ranked.groupBy("entity", "field").agg(F.min(F.struct(order.alias("o"), F.col("row").alias("row"), F.col("v").alias("v"))).alias("b"))
