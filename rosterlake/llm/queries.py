@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rosterlake.llm import contamination, mixture, residue, survivors
-from rosterlake.session import cut, table
+from rosterlake.session import cut, table, written
 
 
 def survivor_rules() -> list[survivors.Rule]:
@@ -59,7 +59,7 @@ def p8_items(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _mixture(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    counts = cut(mixture.token_counts(table(spark, sf_dir, "documents")))
+    counts = written(mixture.token_counts(table(spark, sf_dir, "documents")))
     available = counts.where("source is not null").groupBy("source").agg(F.sum("tokens").alias("available"))
     shares = cut(mixture.plan(available, table(spark, sf_dir, "mix_targets")))
     return mixture.mix(counts, shares), shares
