@@ -2,12 +2,15 @@
 
 import random
 from itertools import combinations
+from pathlib import Path
 
 import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
+from rosterlake import session
 from rosterlake.llm import addresses, graph, hospitals, linking
+from rosterlake.llm import names as names_
 from rosterlake.llm.addresses import near, read_address
 from rosterlake.llm.names import align_persons, best_assignment, hungarian, read_person
 from rosterlake.llm.orgnames import ACRONYM, align_orgs
@@ -169,6 +172,55 @@ def test_candidates_are_as_wide_as_the_alignment(spark, a, b):
     assert persons(spark, [listing(1, a, phone="407-555-0101"), listing(2, b, phone="407-555-0101", address=None, zip_=None, practice=None)]) == [("1", "2")]
 
 
+def test_listings_without_a_code_meet_whichever_id_is_less(spark):
+    for a, b in ((1, 2), (2, 1)):
+        assert persons(spark, [listing(a, "Ada Lund", address=None, zip_=None), listing(b, "Lund, Ada")]) == [("1", "2")]
+
+
+def test_given_names_alone_let_none_meet(spark):
+    """Of 60 listings of one given name and place, without numbers, only the two that share a family name are candidates."""
+    families = ["".join(random.Random(i).choice("bcdfghklmnprst") + random.Random(-i - 1).choice("aeiou") for i in range(k * 5, k * 5 + 5)) for k in range(59)]
+    assert len({*families}) == 59
+    people = linking.people(spark.createDataFrame([listing(i, f"Robert {f}") for i, f in enumerate([*families, families[0]])], LISTING))
+    got = {(x.x, x.y) for x in linking.near_candidates(people).collect()}
+    assert (0, 59) in got and len(got) < 60
+
+
+def test_family_tokens_hold_what_names_agree_by():
+    names = ["Ada James", "A. James", "James, Ada", "Ada Lund Berg", "A. Lundberg", "Ada Rosen", "Rosenfeldt, A", "Ada Maria Lund", "Lund Ada", "Maria Lund", "Lund", "Maria", "Robert Lumdqvost", "Robert Lundqvist", "Lundqvist Robert J"]
+    for a, b in combinations(names, 2):
+        x, y = names_.family_tokens(a), names_.family_tokens(b)
+        meet = any(not (g and h) and (t == u or (not (begun or begun2) and min(len(t), len(u)) > 3 and near(t, u, 2 if min(len(t), len(u)) >= 7 else 1))) for t, (g, begun) in x.items() for u, (h, begun2) in y.items())
+        assert meet or align_persons(a, b) == 0, (a, b)
+
+
+def test_many_rows_of_one_number_meet_as_few_do(spark, monkeypatch):
+    n1 = "1710588744"
+    data = [listing(i, n, n1, address=None, zip_=None) for i, n in enumerate(["Robert Lundqvist", "Bob Lumdqvist", "R. Lundqvist", "Ada Berg", "Bob Ryde", "Ada Rydholm"], 1)]
+    want = persons(spark, data)
+    monkeypatch.setattr(linking, "MANY", 2)
+    assert persons(spark, data) == want and ("1", "2") in want
+
+
+def test_tables_and_shuffle_files_go_when_a_step_ends(spark):
+    folder, held = Path(session.scratch(spark).removeprefix("file:")), []
+    inside = lambda: {p for p in folder.rglob("*.parquet") if p.is_file()}
+    session.written(spark.range(1))
+    before, setting = inside(), spark.conf.get(session._CLEANUP, None)
+    shuffles = lambda: spark._jsc.sc().env().mapOutputTracker().shuffleStatuses().size()
+    known = shuffles()
+
+    def make():
+        step = session.written(spark.range(1000).repartition(7).groupBy("id").count())
+        held.append(inside() - before)
+        return session.kept(spark, lambda: step.where("id < 10"))
+
+    out = session.kept(spark, make)
+    left = shuffles()
+    assert held[0] and not held[0] & inside() and out.count() == 10
+    assert len(inside() - before) == len(out.inputFiles()) and left <= known and spark.conf.get(session._CLEANUP, None) == setting
+
+
 def test_generations_at_one_place(spark):
     n1, n2 = "1710588744", "1194013169"
     data = [listing(1, "Ada Lund Jr", n1), listing(2, "Ada Lund Sr", n2), listing(3, "Lund Jr, Ada"), listing(4, "Ada Lund Sr.")]
