@@ -144,6 +144,14 @@ def test_neighbours_two_edits_equal_brute_force(spark):
     assert got == {(a, b) for a in ts for b in ts if near(a, b, 2 if min(len(a), len(b)) >= 7 else 1)} and {("lundqvist", "lumdqvost"), ("lundqvist", "ulndqvits")} <= got
 
 
+def test_forms_of_tokens_do_not_come_to_the_driver(spark, monkeypatch):
+    """The index is many times as large as the vocabulary that Spark judges it by, so it is never broadcast."""
+    plans, write = [], graph.written
+    monkeypatch.setattr(graph, "written", lambda df: plans.append(df._jdf.queryExecution().executedPlan().toString()) or write(df))
+    assert graph.neighbours(spark.createDataFrame([("lundqvist",), ("lumdqvist",), ("berg",)], "t string")).count() == 5
+    assert any("explode" in p for p in plans) and not any("Broadcast" in p for p in plans)
+
+
 LISTING = "provider_id long, full_name string, npi string, phone string, practice_name string, specialty string, address string, city string, state string, zip string"
 
 
